@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts the page profile reports for a missing and for an empty title.
@@ -16,19 +16,23 @@ SAMPLE_CHARS = 500
 # Attributes are matched with possessive repeats, one step per quoted value, so long tags
 # neither backtrack nor recurse.
 _ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
+# Every pattern starts with the literal `<`, which lets the scanner skip plain text quickly.
 _HIDDEN = (
-    r"<!--.*?-->"
-    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"!--.*?-->"
+    r"|script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
 )
-_OPENING_TAG = r"<[A-Za-z]" + _ATTRIBUTES + ">"
+_TOKEN = r"(?is)<(?:" + _HIDDEN + r"|[a-z]" + _ATTRIBUTES + r">)"
 _ATTRIBUTE = r"""[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))?"""
 _MARKUP = (
-    _HIDDEN
-    + r"|<template\b[^>]*>.*?</template\s*>|<!\[CDATA\[.*?\]\]>|<![A-Za-z][^>]*>|<\?[^>]*>"
-    + r"|</[A-Za-z][^>]*>|"
-    + _OPENING_TAG
+    r"(?is)<(?:"
+    + _HIDDEN
+    + r"|template\b[^>]*>.*?</template\s*>|!\[CDATA\[.*?\]\]>|![a-z][^>]*>|\?[^>]*>|/[a-z][^>]*>"
+    + r"|[a-z]"
+    + _ATTRIBUTES
+    + ">)"
 )
+_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
 _BY_NAME = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 # Numeric references to the C1 range mean Windows-1252 characters.
@@ -92,7 +96,7 @@ def hrefs(html: Column) -> Column:
     One scan yields comments, scripts, styles and tags; anchors are picked from that list,
     so link-like text inside the others is not mistaken for a link.
     """
-    tokens = F.regexp_extract_all(html, F.lit("(?is)" + _HIDDEN + "|" + _OPENING_TAG), F.lit(0))
+    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
     anchors = F.filter(tokens, lambda t: t.rlike(r"(?i)^<a[\s/]"))
 
     def href_of(tag: Column) -> Column:
@@ -116,21 +120,26 @@ def _attribute_value(attribute: Column) -> Column:
     return F.regexp_replace(value, r"""(?s)^(?:"([^"]*)"|'([^']*)')$""", "$1$2")
 
 
-def title(html: Column) -> Column:
-    """Title text, or the fixed texts for a page without one or with an empty one."""
-    shown = F.regexp_replace(html, "(?is)" + _HIDDEN, "")
-    pattern = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-    text = F.regexp_extract(shown, pattern, 1)
-    return (
-        F.when(~shown.rlike(pattern), F.lit(NO_TITLE))
-        .when(text == "", F.lit(EMPTY_TITLE))
-        .otherwise(decode_entities(text))
-    )
-
+def with_title_and_text(df: DataFrame, html: str = "html") -> DataFrame:
+    """Adds `title` (or its fixed stand-ins) and `text`, the page without markup.
 
-def visible_text(html: Column) -> Column:
-    """Text of the page without markup, comments, scripts and styles."""
-    return decode_entities(F.regexp_replace(html, "(?is)" + _MARKUP, ""))
+    Comments, scripts and styles belong to neither. Raw and decoded forms are separate
+    projections, so that each regular expression runs once per page.
+    """
+    kept = df.columns
+    steps = df.withColumn("_shown", F.regexp_replace(html, "(?is)<(?:" + _HIDDEN + ")", ""))
+    steps = steps.withColumns({
+        "_title": F.regexp_extract("_shown", _TITLE, 1),
+        "_titled": F.contains(F.lower("_shown"), F.lit("</title")),
+        "_text": F.regexp_replace("_shown", _MARKUP, ""),
+    })
+    # An empty match means either an empty title or none; only then is the test repeated.
+    title = (
+        F.when(F.col("_title") != "", decode_entities(F.col("_title")))
+        .when(F.col("_titled") & F.col("_shown").rlike(_TITLE), F.lit(EMPTY_TITLE))
+        .otherwise(F.lit(NO_TITLE))
+    )
+    return steps.select(*kept, title.alias("title"), decode_entities(F.col("_text")).alias("text"))
 
 
 def escape(text: Column) -> Column:

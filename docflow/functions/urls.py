@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Document suffix, and the URL schemes whose last path segment may carry
@@ -116,66 +116,78 @@ def _without_dots(path: Column, squeeze: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
-def resolve_against(base: Column, href: Column) -> Column:
-    """Absolute form of `href` on a page described by `base_parts`; null if malformed.
+def resolve_links(
+    df: DataFrame, base: str | Column, href: str = "href", target: str = "target_url"
+) -> DataFrame:
+    """Adds the absolute form of `href`, or null where the reference is malformed.
 
-    The shapes are tried from cheap to dear, and segment folding runs only for paths that
+    `base` is the page's URL column, or the `base_parts` struct of it where that was computed
+    before links were exploded. The work is laid out as a chain of projections, so that each
+    intermediate string is computed once per row; segment folding runs only for paths that
     contain a dot segment or a doubled slash.
     """
-    clean = F.regexp_replace(F.regexp_replace(href, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
-    scheme = F.when(clean.contains(":"), scheme_of(clean)).otherwise(F.lit(""))
-    reference = F.when(scheme == "", clean).otherwise(
-        F.substr(clean, F.length(scheme) + 2)
+    base = base_parts(F.col(base)) if isinstance(base, str) else base
+    kept = df.columns
+    c = F.col
+    none = F.lit("")
+
+    steps = df.withColumns({
+        "_base": base,
+        "_text": F.regexp_replace(F.regexp_replace(href, r"[\t\r\n]", ""), r"^[\x00-\x20]+", ""),
+    })
+    steps = steps.withColumn(
+        "_scheme", F.when(c("_text").contains(":"), scheme_of(c("_text"))).otherwise(none)
     )
-    authority = F.when(
-        reference.startswith("//"), F.regexp_extract(reference, r"^//([^/?#]*)", 1)
-    ).otherwise(F.lit(""))
-    malformed = (authority.contains("[") | authority.contains("]")) & ~authority.rlike(
-        _BRACKETED_HOST
+    steps = steps.withColumn(
+        "_ref",
+        F.when(c("_scheme") == "", c("_text")).otherwise(
+            F.substr("_text", F.length("_scheme") + 2)
+        ),
     )
+    network = c("_ref").startswith("//")
+    steps = steps.withColumn(
+        "_host", F.when(network, F.regexp_extract("_ref", r"^//([^/?#]*)", 1)).otherwise(none)
+    )
+    steps = steps.withColumn(
+        "_local",
+        F.when(network, F.substr("_ref", F.length("_host") + 3)).otherwise(c("_ref")),
+    )
+    steps = steps.withColumn("_path", F.regexp_extract("_local", r"^[^?#]*", 0))
+    steps = steps.withColumns({
+        "_tail": _drop_empty_tail(F.substr("_local", F.length("_path") + 1)),
+        "_params": F.when(
+            c("_path").contains(";"), F.regexp_extract("_path", r";[^/]*$", 0)
+        ).otherwise(none),
+    })
+    own = F.substr("_path", F.lit(1), F.length("_path") - F.length("_params"))
+    rooted = c("_path").startswith("/")
+    steps = steps.withColumn(
+        "_merged", F.when(rooted, own).otherwise(F.concat(c("_base.folder"), own))
+    )
+    needs_fold = c("_merged").contains("/.") | (~rooted & c("_merged").contains("//"))
+    path = F.when(needs_fold, _without_dots(c("_merged"), ~rooted)).otherwise(c("_merged"))
 
-    local = F.when(reference.startswith("//"), F.substr(reference, F.lit(3))).otherwise(reference)
-    full_path = F.regexp_extract(local, r"^[^?#]*", 0)
-    tail = _drop_empty_tail(F.substr(local, F.length(full_path) + 1))
-    parameters = F.when(
-        full_path.contains(";"), F.regexp_extract(full_path, r";[^/]*$", 0)
-    ).otherwise(F.lit(""))
-    own_path = F.substr(full_path, F.lit(1), F.length(full_path) - F.length(parameters))
-
-    rooted = own_path.startswith("/")
-    merged = F.when(rooted, own_path).otherwise(F.concat(base["folder"], own_path))
-    needs_fold = merged.contains("/.") | (~rooted & merged.contains("//"))
-    path = F.when(needs_fold, _without_dots(merged, ~rooted)).otherwise(merged)
-
-    return (
+    malformed = (c("_host").contains("[") | c("_host").contains("]")) & ~c("_host").rlike(
+        _BRACKETED_HOST
+    )
+    resolved = (
         F.when(malformed, F.lit(None).cast("string"))
-        .when(href == "", base["url"])
-        .when((scheme != "") & (scheme != base["scheme"]), href)
-        .when(base["origin"].isNull(), F.when(scheme != "", href))
+        .when(c(href) == "", c("_base.url"))
+        .when((c("_scheme") != "") & (c("_scheme") != c("_base.scheme")), c(href))
+        .when(c("_base.origin").isNull(), F.when(c("_scheme") != "", c(href)))
         .when(
-            authority != "",
-            F.concat(base["scheme"], F.lit("://"), authority,
-                     _network_tail(reference, authority)),
+            c("_host") != "",
+            F.concat("_base.scheme", F.lit("://"), "_host", "_path", "_tail"),
         )
         .when(
-            full_path == "",
+            c("_path") == "",
             F.concat(
-                base["origin"],
-                base["path"],
-                F.when(tail.startswith("?"), F.lit("")).otherwise(base["query"]),
-                tail,
+                c("_base.origin"),
+                c("_base.path"),
+                F.when(c("_tail").startswith("?"), none).otherwise(c("_base.query")),
+                c("_tail"),
             ),
         )
-        .otherwise(F.concat(base["origin"], path, parameters, tail))
+        .otherwise(F.concat(c("_base.origin"), path, c("_params"), c("_tail")))
     )
-
-
-def _network_tail(reference: Column, authority: Column) -> Column:
-    rest = F.substr(reference, F.length(authority) + 3)
-    path = F.regexp_extract(rest, r"^[^?#]*", 0)
-    return F.concat(path, _drop_empty_tail(F.substr(rest, F.length(path) + 1)))
-
-
-def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute form of `href` found on the page at `base`."""
-    return resolve_against(base_parts(base), href)
+    return steps.select(*kept, resolved.alias(target))

@@ -66,5 +66,5 @@ def test_title_and_text(spark):
         ("<script>'<title>no</title>'</script><TITLE lang='x'>A &lt; B</TITLE>", "A < B", "A < B"),
     ]
     df = spark.createDataFrame([(r[0],) for r in rows], "html string")
-    got = df.select(H.title(F.col("html")), H.visible_text(F.col("html"))).collect()
-    assert [tuple(r) for r in got] == [r[1:] for r in rows]
+    got = H.with_title_and_text(df).collect()
+    assert [(r.title, r.text) for r in got] == [r[1:] for r in rows]

@@ -28,7 +28,7 @@ BASES = [
 
 def _resolve(spark, pairs):
     df = spark.createDataFrame(pairs, "base string, href string")
-    return [r[0] for r in df.select(urls.resolve_url(F.col("base"), F.col("href"))).collect()]
+    return [r.target_url for r in urls.resolve_links(df, "base").collect()]
 
 
 @pytest.mark.parametrize("base", BASES)
