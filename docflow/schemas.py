@@ -3,8 +3,17 @@
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(),
+    "BINARY": T.BinaryType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+    "DOUBLE": T.DoubleType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Flat schema from "name TYPE, ..."; unlike Spark's parser it needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 PAGES = _struct("page_id BIGINT, url STRING, html STRING, status_code INT, error STRING")
@@ -40,3 +49,24 @@ PAGE_PROFILE = _struct(
     "status STRING, url STRING, status_code INT, content_length BIGINT, title STRING, "
     "sample_text STRING, error STRING"
 )
+
+# A log entry as single-process runs wrote it: newer ones name the event in `event_type`,
+# older ones in `stage`, without a time.
+LOG_ENTRY = _struct(
+    "timestamp DOUBLE, event_type STRING, stage STRING, url STRING, file STRING, error STRING, "
+    "size BIGINT, checksum STRING, pdf_count BIGINT, retry_count INT"
+)
+
+# Observations as a stream delivers them: header fields, body and time of observation.
+OBSERVATIONS = _struct(
+    "url STRING, content_length STRING, last_modified STRING, error STRING, content BINARY, "
+    "observed_at TIMESTAMP"
+)
+
+DOCUMENTS = _struct(
+    "filename STRING, url STRING, checksum STRING, content BINARY, run_id STRING"
+)
+
+FOLDED_ATTEMPTS = _struct(
+    "url STRING, ok BOOLEAN, attempts BIGINT, failures BIGINT, last_error STRING"
+)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.functions.content import content_checksum
+from docflow.functions.urls import document_filename
 from docflow.operators.skew import latest_by
+from docflow.schemas import DOCUMENTS
 
 # Size bound of the list of URLs not to store, up to which it is broadcast.
 BROADCAST_URLS = 100_000
 
-_DOCUMENTS = "filename STRING, url STRING, checksum STRING, content BINARY, run_id STRING"
-
 
 def stored_files(spark: SparkSession, folder: str) -> DataFrame:
     """Name and length of the files in a folder; their content is not read."""
@@ -42,17 +43,17 @@ def select_stored(bodies: DataFrame, outcomes: DataFrame) -> DataFrame:
     bodies are joined by URL.
     """
     stored = outcomes.filter(F.col("status") == "success")
-    named = lambda df: df.select(
-        F.col("filename"), F.col("url"), F.sha2("content", 256).alias("checksum"), F.col("content")
-    )
-    from docflow.functions.urls import document_filename
-
     refused = bodies.select("url").join(stored.select("url"), "url", "left_anti").distinct()
     if refused.limit(BROADCAST_URLS + 1).count() <= BROADCAST_URLS:
         kept = bodies.join(F.broadcast(refused), "url", "left_anti")
     else:
         kept = bodies.join(stored.select("url"), "url", "left_semi")
-    return named(kept.withColumn("filename", document_filename(F.col("url"))))
+    return kept.select(
+        document_filename(F.col("url")).alias("filename"),
+        "url",
+        content_checksum(F.col("content")).alias("checksum"),
+        "content",
+    )
 
 
 def write_documents(documents: DataFrame, path: str, run_id: str) -> None:
@@ -65,7 +66,7 @@ def latest_documents(spark: SparkSession, path: str) -> DataFrame:
 
     Of several URLs with one file name in a run the last one counts. Content is not read.
     """
-    rows = spark.read.schema(_DOCUMENTS).parquet(path)
+    rows = spark.read.schema(DOCUMENTS).parquet(path)
     return latest_by(
         rows.select("filename", "url", "checksum", "run_id"), ["filename"], ["run_id", "url"]
     )
@@ -73,5 +74,5 @@ def latest_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def document_contents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """Content for rows of `latest_documents`."""
-    rows = spark.read.schema(_DOCUMENTS).parquet(path)
+    rows = spark.read.schema(DOCUMENTS).parquet(path)
     return rows.join(wanted.select("filename", "url", "run_id"), ["filename", "url", "run_id"])

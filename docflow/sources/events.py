@@ -9,17 +9,14 @@ from docflow import schemas
 from docflow.functions.content import epoch_timestamp
 from docflow.sources.json_files import read_array
 
-# The keys of a log entry as written by single-process runs. The newer form
-# names the event in `event_type`, the older one in `stage` without a time.
-_LOG_ENTRY = (
-    "timestamp DOUBLE, event_type STRING, stage STRING, url STRING, file STRING, error STRING, "
-    "size BIGINT, checksum STRING, pdf_count BIGINT, retry_count INT"
-)
+
+# Times keep their microseconds in JSON.
+_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def write_events(events: DataFrame, path: str, format: str = "parquet") -> None:
     """Appends events, one folder per run; JSON is written as one object per line."""
-    events.write.mode("append").partitionBy("run_id").format(format).save(path)
+    events.write.mode("append").partitionBy("run_id").format(format).options(**_OPTIONS).save(path)
 
 
 def read_events(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -27,6 +24,7 @@ def read_events(spark: SparkSession, path: str, format: str = "parquet") -> Data
     return (
         spark.read.schema(schemas.EVENTS)
         .format(format)
+        .options(**_OPTIONS)
         .load(path)
         .select(*schemas.EVENTS.fieldNames())
     )
@@ -34,9 +32,7 @@ def read_events(spark: SparkSession, path: str, format: str = "parquet") -> Data
 
 def read_event_array(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     """Events from a JSON array file of either older form."""
-    from pyspark.sql.types import StructType
-
-    rows, _ = read_array(spark, path, StructType.fromDDL(_LOG_ENTRY))
+    rows, _ = read_array(spark, path, schemas.LOG_ENTRY)
     return rows.select(
         F.lit(run_id).alias("run_id"),
         epoch_timestamp(F.col("timestamp")).alias("timestamp"),

@@ -7,6 +7,7 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from docflow import schemas
 from docflow.operators.skew import latest_by
@@ -15,7 +16,7 @@ from docflow.sources.json_files import read_map
 log = logging.getLogger(__name__)
 
 _COMMITS = "run_id STRING, kind STRING, seq BIGINT"
-_LOGGED = schemas.MANIFEST.simpleString()[len("struct<"):-1].replace(":", " ")
+_LOGGED = StructType([*schemas.MANIFEST.fields, StructField("seq", LongType())])
 
 
 def empty_manifest(spark: SparkSession) -> DataFrame:
@@ -85,7 +86,7 @@ class ManifestStore:
         if not commits:
             return empty_manifest(self.spark)
         folders = [f"{self.path}/runs/{c.seq}-{c.run_id}" for c in commits]
-        rows = self.spark.read.schema(f"{_LOGGED}, seq BIGINT").parquet(*folders)
+        rows = self.spark.read.schema(_LOGGED).parquet(*folders)
         if len(folders) == 1:
             return rows.drop("seq")
         return latest_by(rows, ["filename"], ["seq"]).drop("seq")

@@ -8,15 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docflow.functions import content
 from docflow.operators import change, outcome
+from docflow.operators.skew import latest_by
 from docflow.reliable import saved
+from docflow.schemas import FOLDED_ATTEMPTS
 from docflow.sources.manifests import ManifestStore
 
-# Observation rows: header fields, body and the time of the observation.
-OBSERVATIONS = (
-    "url STRING, content_length STRING, last_modified STRING, error STRING, content BINARY, "
-    "observed_at TIMESTAMP"
-)
-
 
 def distinct_observations(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drops repeats of (url, last_modified) that arrive within `delay` of each other."""
@@ -36,19 +32,17 @@ def process_batch(
     # reduced to length, checksum and validity before anything is shuffled.
     inspected_at = outcome.inspect_bodies(
         batch.withColumn("url", F.struct("url", "observed_at"))
-    ).select("url.url", "url.observed_at", "body_size", "checksum", "is_valid")
+    ).select("url.*", "body_size", "checksum", "is_valid")
     seen = batch.select("url", "content_length", "last_modified", "error", "observed_at")
-    latest = change_latest(seen)
-    inspected = change_latest(inspected_at)
+    latest = latest_by(seen, ["url"], ["observed_at"])
+    inspected = latest_by(inspected_at, ["url"], ["observed_at"])
     manifest = store.read()
     # Every tracked file was stored by the run that tracked it.
     decided = change.change_decision(
         change.candidates(latest), manifest, manifest.select("filename"),
         change.head_observations(latest),
     )
-    no_attempts = batch.sparkSession.createDataFrame(
-        [], "url string, ok boolean, attempts bigint, failures bigint, last_error string"
-    )
+    no_attempts = batch.sparkSession.createDataFrame([], FOLDED_ATTEMPTS)
     outcomes = saved(
         outcome.outcome_status(decided, no_attempts, inspected, cap).join(
             latest.select("url", "observed_at"), "url"
@@ -62,12 +56,6 @@ def process_batch(
         store.compact(f"{run_id}-compact")
 
 
-def change_latest(rows: DataFrame) -> DataFrame:
-    from docflow.operators.skew import latest_by
-
-    return latest_by(rows, ["url"], ["observed_at"])
-
-
 def incremental_stream(
     observations: DataFrame,
     store_path: str,
