@@ -37,14 +37,16 @@ _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 _BY_NAME = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 # Numeric references to the C1 range mean Windows-1252 characters.
 _BY_C1_CODE = {
-    code: bytes([code]).decode("cp1252")
+    str(code): bytes([code]).decode("cp1252")
     for code in range(0x80, 0xA0)
     if bytes([code]).decode("cp1252", errors="ignore")
 }
 
 
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+def _literal_map(values: dict[str, str]) -> Column:
+    """Constant map from two joined strings; U+001F occurs in neither."""
+    keys, texts = ("\x1f".join(side) for side in (values.keys(), values.values()))
+    return F.map_from_arrays(F.split(F.lit(keys), "\x1f"), F.split(F.lit(texts), "\x1f"))
 
 
 def _character(code: Column) -> Column:
@@ -55,7 +57,7 @@ def _character(code: Column) -> Column:
             F.lit("�"),
         )
         .when(code.between(0x80, 0x9F), F.coalesce(
-            F.element_at(_literal_map(_BY_C1_CODE), code.cast("int")), F.decode(utf32, "UTF-32")))
+            F.try_element_at(_literal_map(_BY_C1_CODE), code.cast("string")), F.decode(utf32, "UTF-32")))
         .otherwise(F.decode(utf32, "UTF-32"))
     )
 

@@ -80,22 +80,22 @@ def reachable(
     spark = links.sparkSession
     edges = links.select("page_url", "target_url")
     hot = checkpointed(skew.heavy_keys(edges, ["page_url"], hot_rows))
-    graph = (
-        skew.sliced(edges, hot, ["page_url"], ["target_url"], slices)
-        .repartition("page_url", "_slice")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    keys = ["page_url"]
+    if not hot.isEmpty():
+        edges = skew.sliced(edges, hot, ["page_url"], ["target_url"], slices)
+        keys.append("_slice")
+    graph = edges.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     frontier = spark.createDataFrame([(root, 0)], "url string, depth int")
     visited = frontier
     depth = 0
     try:
         while max_depth is None or depth < max_depth:
             depth += 1
-            here = skew.replicated(
-                frontier.select(F.col("url").alias("page_url")), hot, ["page_url"], slices
-            )
+            here = frontier.select(F.col("url").alias("page_url"))
+            if "_slice" in keys:
+                here = skew.replicated(here, hot, ["page_url"], slices)
             found = (
-                graph.join(here, ["page_url", "_slice"], "left_semi")
+                graph.join(here, keys, "left_semi")
                 .select(F.col("target_url").alias("url"))
                 .distinct()
             )

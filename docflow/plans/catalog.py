@@ -259,16 +259,11 @@ variants AS (
 
 
 def _variants(spark, sf_dir) -> DataFrame:
-    u, i = F.col("url"), F.col("doc_id")
-    return derived.all_hosts(spark, sf_dir).select(
-        F.when(i % 7 == 0, u)
-        .when(i % 7 == 1, F.concat(u, F.lit("?v=1")))
-        .when(i % 7 == 2, F.concat(u, F.lit("#p2")))
-        .when(i % 7 == 3, F.replace(u, F.lit(".pdf"), F.lit(".PDF")))
-        .when(i % 7 == 4, F.replace(u, F.lit("/lib/"), F.lit("/lib-old/")))
-        .when(i % 7 == 5, F.concat(u, F.lit(";v=1")))
-        .otherwise(F.replace(u, F.lit("doc-"), F.concat(F.lit("set-"), i, F.lit("/?d="))))
-        .alias("url")
+    return derived.all_hosts(spark, sf_dir).selectExpr(
+        "CASE doc_id % 7 WHEN 0 THEN url WHEN 1 THEN concat(url, '?v=1') WHEN 2 THEN concat(url, '#p2')"
+        " WHEN 3 THEN replace(url, '.pdf', '.PDF') WHEN 4 THEN replace(url, '/lib/', '/lib-old/')"
+        " WHEN 5 THEN concat(url, ';v=1')"
+        " ELSE replace(url, 'doc-', concat('set-', doc_id, '/?d=')) END AS url"
     )
 
 
@@ -351,12 +346,12 @@ def page_status_split(spark, sf_dir):
 @query("""
 WITH RECURSIVE edges AS (
   SELECT p.page_id AS a, q.page_id AS b FROM pages p JOIN pages q
-    ON q.page_id IN (p.page_id * 3 + 1, p.page_id * 3 + 2, p.page_id // 2, p.page_id + 7)
-  WHERE q.page_id % 5 <> 0 OR q.page_id % 1000000000 = 0),
+    ON q.page_id BETWEEN p.page_id * 6 + 1 AND p.page_id * 6 + 6 OR q.page_id = p.page_id // 3
+  WHERE q.page_id % 5 <> 0 OR q.page_id = 0),
 walk(i, depth) AS (
   SELECT CAST(0 AS BIGINT), 0
   UNION
-  SELECT e.b, w.depth + 1 FROM walk w JOIN edges e ON e.a = w.i WHERE w.depth < 60)
+  SELECT e.b, w.depth + 1 FROM walk w JOIN edges e ON e.a = w.i WHERE w.depth < 40)
 SELECT p.url, min(w.depth) AS depth FROM walk w JOIN pages p ON p.page_id = w.i GROUP BY p.url""")
 def reachable_pages(spark, sf_dir):
     links = saved(derived.link_graph(spark, sf_dir), "graph")

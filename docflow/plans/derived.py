@@ -7,6 +7,8 @@ Every function reads whole tables. `catalog` states the same definitions in SQL.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,91 +22,80 @@ MIRROR_ROOT = "https://mirror.example.org/lib"
 FAN_OUT = 32  # child pages per page of the derived site
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A provided table; its file footers are looked at once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def every(n: int, remainder: int = 0, key: str = "doc_id") -> Column:
-    return F.col(key) % n == remainder
-
-
-def _url(root: str) -> Column:
-    return F.concat(F.lit(root + "/"), "source", F.lit("/doc-"), "doc_id", F.lit(".pdf"))
+    return F.expr(f"{key} % {n} = {remainder}")
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per row: url, filename, length and date as its server announces them."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
         "source",
-        _url(ROOT).alias("url"),
-        F.concat(F.lit("doc-"), "doc_id", F.lit(".pdf")).alias("filename"),
-        (F.octet_length("text") + 15).cast("bigint").alias("content_length"),
-        F.concat(
-            F.lit("Wed, 01 Jan 2025 00:"),
-            F.lpad((F.col("doc_id") % 60).cast("string"), 2, "0"),
-            F.lit(":00 GMT"),
-        ).alias("last_modified"),
+        f"concat('{ROOT}/', source, '/doc-', doc_id, '.pdf') AS url",
+        "concat('doc-', doc_id, '.pdf') AS filename",
+        "CAST(octet_length(text) + 15 AS BIGINT) AS content_length",
+        "concat('Wed, 01 Jan 2025 00:', lpad(CAST(doc_id % 60 AS STRING), 2, '0'), ':00 GMT')"
+        " AS last_modified",
         "text",
     )
 
 
 def all_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resources, some of them also on one or two further hosts under the same file name."""
-    res = resources(spark, sf_dir)
-    return (
-        res.unionByName(res.filter(every(6)).withColumn("url", _url(ALT_ROOT)))
-        .unionByName(res.filter(every(9)).withColumn("url", _url(MIRROR_ROOT)))
+    roots = (
+        f"array_compact(array('{ROOT}', IF(doc_id % 6 = 0, '{ALT_ROOT}', NULL), "
+        f"IF(doc_id % 9 = 0, '{MIRROR_ROOT}', NULL)))"
     )
+    return resources(spark, sf_dir).selectExpr(
+        "*", f"explode({roots}) AS host"
+    ).withColumn("url", F.expr("concat(host, '/', source, '/doc-', doc_id, '.pdf')")).drop("host")
 
 
 def manifest_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An earlier manifest: a part of the resources, some entries outdated."""
-    res = resources(spark, sf_dir).filter(~every(5))
-    return res.select(
+    return resources(spark, sf_dir).filter("doc_id % 5 <> 0").selectExpr(
         "filename",
-        F.when(every(11), F.concat(F.lit("https://old.example.org/"), "filename"))
-        .otherwise(F.col("url"))
-        .alias("url"),
-        F.when(every(7), F.col("content_length") + 1)
-        .otherwise(F.col("content_length"))
-        .alias("size"),
-        F.sha2("text", 256).alias("checksum"),
-        F.when(every(13), F.lit(None))
-        .when(every(17), "Tue, 31 Dec 2024 00:00:00 GMT")
-        .otherwise(F.col("last_modified"))
-        .alias("last_modified"),
-        F.timestamp_seconds(1704067200 + (F.col("doc_id") % 120) * 86400 + F.col("doc_id") % 86400)
-        .alias("downloaded_at"),
-        F.concat(F.lit("documents/"), "filename").alias("local_path"),
+        "IF(doc_id % 11 = 0, concat('https://old.example.org/', filename), url) AS url",
+        "IF(doc_id % 7 = 0, content_length + 1, content_length) AS size",
+        "sha2(text, 256) AS checksum",
+        "CASE WHEN doc_id % 13 = 0 THEN NULL"
+        " WHEN doc_id % 17 = 0 THEN 'Tue, 31 Dec 2024 00:00:00 GMT'"
+        " ELSE last_modified END AS last_modified",
+        "timestamp_seconds(1704067200 + (doc_id % 120) * 86400 + doc_id % 86400) AS downloaded_at",
+        "concat('documents/', filename) AS local_path",
     )
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files on disk."""
-    return resources(spark, sf_dir).filter(~every(19)).select(
-        "filename", F.col("content_length").alias("length")
+    return resources(spark, sf_dir).filter("doc_id % 19 <> 0").selectExpr(
+        "filename", "content_length AS length"
     )
 
 
 def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw headers for every URL: some lengths absent or no numbers, some requests failed."""
-    return all_hosts(spark, sf_dir).select(
+    return all_hosts(spark, sf_dir).selectExpr(
         "url",
-        F.when(every(29), "n/a")
-        .when(every(31), F.lit(None))
-        .otherwise(F.col("content_length").cast("string"))
-        .alias("content_length"),
-        F.when(every(41), F.lit(None)).otherwise(F.col("last_modified")).alias("last_modified"),
-        F.when(every(37), "timed out").alias("error"),
+        "CASE WHEN doc_id % 29 = 0 THEN 'n/a' WHEN doc_id % 31 = 0 THEN NULL"
+        " ELSE CAST(content_length AS STRING) END AS content_length",
+        "IF(doc_id % 41 = 0, NULL, last_modified) AS last_modified",
+        "IF(doc_id % 37 = 0, 'timed out', NULL) AS error",
     )
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetched content of every URL: the document's whole text, framed as a PDF or not."""
-    start = F.when(every(23), "not a document").otherwise(F.lit("%PDF-1.4"))
-    return all_hosts(spark, sf_dir).select(
-        "url", F.concat(start, F.lit("\n"), "text", F.lit("\n%%EOF")).cast("binary").alias("content")
+    return all_hosts(spark, sf_dir).selectExpr(
+        "url",
+        "CAST(concat(IF(doc_id % 23 = 0, 'not a document', '%PDF-1.4'), '\\n', text, '\\n%%EOF')"
+        " AS BINARY) AS content",
     )
 
 
@@ -117,14 +108,13 @@ ATTEMPT_ORDER = [
 
 def item_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as attempts: one file per order, a returned item is a failed attempt."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("file-"), "l_orderkey").alias("file"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('file-', l_orderkey) AS file",
         *ATTEMPT_ORDER,
         "l_orderkey",
-        (F.col("l_returnflag") != "R").alias("ok"),
-        F.when(F.col("l_returnflag") == "R", F.concat(F.lit("HTTP 503 from part "), "l_partkey"))
-        .alias("error"),
-        F.col("l_shipdate").cast("timestamp").alias("attempted_at"),
+        "l_returnflag <> 'R' AS ok",
+        "IF(l_returnflag = 'R', concat('HTTP 503 from part ', l_partkey), NULL) AS error",
+        "CAST(l_shipdate AS TIMESTAMP) AS attempted_at",
     )
 
 
@@ -162,7 +152,7 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent = F.when(i > 0, F.concat(
         F.lit("<a class='up' href='"), page_url(F.floor((i - 1) / FAN_OUT)), F.lit("'>up</a>")
     )).otherwise(F.lit(""))
-    copy = F.when(every(9), F.concat(F.lit("<a href="), _url(MIRROR_ROOT), F.lit(">copy</a>"))
+    copy = F.when(every(9), F.concat(F.lit("<a href="), F.expr(f"concat('{MIRROR_ROOT}/', source, '/doc-', doc_id, '.pdf')"), F.lit(">copy</a>"))
                   ).otherwise(F.lit(""))
     view = F.when(every(50), F.lit('<A HREF="?print=1&amp;all=1">print</A>')).otherwise(F.lit(""))
     html = F.concat(
@@ -187,41 +177,29 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the provided pages by page number; cyclic, with pages not reached."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    i = F.col("page_id")
-    targets = F.array(i * 3 + 1, i * 3 + 2, F.floor(i / 2).cast("bigint"), i + 7)
-    edges = pages.select(F.col("url").alias("page_url"), F.explode(targets).alias("page_id"))
-    # Pages with a number divisible by five are linked from nowhere, but for the root.
-    known = pages.filter(~every(5, key="page_id") | every(1_000_000_000, key="page_id"))
-    return edges.join(known.withColumnRenamed("url", "target_url"), "page_id").select(
-        "page_url", "target_url"
+    edges = pages.selectExpr(
+        "url AS page_url",
+        "explode(concat(sequence(page_id * 6 + 1, page_id * 6 + 6), array(page_id DIV 3))) AS page_id",
     )
+    # Pages with a number divisible by five are linked from nowhere, but for the root.
+    known = pages.filter("page_id % 5 <> 0 OR page_id = 0").withColumnRenamed("url", "target_url")
+    return edges.join(known, "page_id").select("page_url", "target_url")
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a log of fetches: errors, successes, crawled pages, retries, invalid files."""
-    kind = F.col("event_type")
-    log = table(spark, sf_dir, "events").select(
-        F.lit("run-1").alias("run_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.when(kind == "error", "download_error")
-        .when(kind == "click", "download_success")
-        .when(kind == "view", "crawl_success")
-        .when(kind == "purchase", "download_retry")
-        .otherwise("validation_error")
-        .alias("event_type"),
-        F.concat(F.lit("https://docs.example.org/u/"), "user_id").alias("url"),
-        F.concat(F.lit("doc-"), "user_id", F.lit(".pdf")).alias("file"),
-        F.when(
-            kind == "error",
-            F.concat(
-                F.lit("HTTP "), F.lit(500) + F.col("event_id") % 4,
-                F.lit(" for https://docs.example.org/u/"), "user_id",
-                F.lit(" after "), "event_id", F.lit(" ms"),
-            ),
-        )
-        .when(kind == "purchase", F.concat(F.lit("timeout "), "event_id"))
-        .when(kind == "signup", F.lit("Invalid PDF format"))
-        .alias("error"),
-        F.floor(F.col("value") * 1000).cast("bigint").alias("size"),
+    log = table(spark, sf_dir, "events").selectExpr(
+        "'run-1' AS run_id",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "CASE event_type WHEN 'error' THEN 'download_error' WHEN 'click' THEN 'download_success'"
+        " WHEN 'view' THEN 'crawl_success' WHEN 'purchase' THEN 'download_retry'"
+        " ELSE 'validation_error' END AS event_type",
+        "concat('https://docs.example.org/u/', user_id) AS url",
+        "concat('doc-', user_id, '.pdf') AS file",
+        "CASE event_type WHEN 'error' THEN concat('HTTP ', 500 + event_id % 4,"
+        " ' for https://docs.example.org/u/', user_id, ' after ', event_id, ' ms')"
+        " WHEN 'purchase' THEN concat('timeout ', event_id)"
+        " WHEN 'signup' THEN 'Invalid PDF format' END AS error",
+        "CAST(floor(value * 1000) AS BIGINT) AS size",
     )
     return conform(log, schemas.EVENTS)
