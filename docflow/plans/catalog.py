@@ -346,7 +346,7 @@ def page_status_split(spark, sf_dir):
 @query("""
 WITH RECURSIVE edges AS (
   SELECT p.page_id AS a, q.page_id AS b FROM pages p JOIN pages q
-    ON q.page_id BETWEEN p.page_id * 6 + 1 AND p.page_id * 6 + 6 OR q.page_id = p.page_id // 3
+    ON q.page_id BETWEEN p.page_id * 6 + 1 AND p.page_id * 6 + 6 OR q.page_id = p.page_id // 12
   WHERE q.page_id % 5 <> 0 OR q.page_id = 0),
 walk(i, depth) AS (
   SELECT CAST(0 AS BIGINT), 0

@@ -179,7 +179,7 @@ def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     edges = pages.selectExpr(
         "url AS page_url",
-        "explode(concat(sequence(page_id * 6 + 1, page_id * 6 + 6), array(page_id DIV 3))) AS page_id",
+        "explode(concat(sequence(page_id * 6 + 1, page_id * 6 + 6), array(page_id DIV 12))) AS page_id",
     )
     # Pages with a number divisible by five are linked from nowhere, but for the root.
     known = pages.filter("page_id % 5 <> 0 OR page_id = 0").withColumnRenamed("url", "target_url")
