@@ -68,7 +68,8 @@ def change_decision(
         .otherwise(F.col("head_error")),
     )
     joined = skew.lookup_join(
-        observed, tracked_state(manifest, stored), ["filename"], ["url"], "left", hot_rows
+        observed, tracked_state(manifest, stored), ["filename"], ["url"], "left", hot_rows,
+        count_in=chosen,
     )
     differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
     reason = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -17,10 +17,18 @@ from docflow.reliable import checkpointed, saved
 COMPACT_EVERY = 16
 
 
+def fetch_error() -> Column:
+    """Error of a page's fetch: its own message, or the status where that is one; else null."""
+    status = F.when(
+        F.col("status_code") >= 400, F.concat(F.lit("HTTP status "), F.col("status_code"))
+    )
+    return F.coalesce("error", status)
+
+
 def split_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pages fetched with success, and pages whose fetch failed."""
-    failed = F.col("error").isNotNull() | F.coalesce(F.col("status_code") >= 400, F.lit(False))
-    return pages.filter(~failed), pages.filter(failed)
+    error = fetch_error()
+    return pages.filter(error.isNull()), pages.filter(error.isNotNull())
 
 
 def extract_links(pages: DataFrame, distinct: bool = False) -> DataFrame:
@@ -165,8 +173,7 @@ def discover(
 
 def page_profile(pages: DataFrame) -> DataFrame:
     """Status, size, title and the first characters of the text, one row per page."""
-    failed = F.col("error").isNotNull() | F.coalesce(F.col("status_code") >= 400, F.lit(False))
-    profiled = html.with_title_and_text(pages.withColumn("_failed", failed))
+    profiled = html.with_title_and_text(pages.withColumn("_failed", fetch_error().isNotNull()))
     blank = F.when(F.col("_failed"), F.lit(""))
     return profiled.select(
         F.when(F.col("_failed"), "failure").otherwise("success").alias("status"),
@@ -175,10 +182,7 @@ def page_profile(pages: DataFrame) -> DataFrame:
         F.when(~F.col("_failed"), F.octet_length("html").cast("bigint")).alias("content_length"),
         blank.otherwise(F.col("title")).alias("title"),
         blank.otherwise(F.substring("text", 1, html.SAMPLE_CHARS)).alias("sample_text"),
-        F.when(
-            F.col("_failed"),
-            F.coalesce("error", F.concat(F.lit("HTTP status "), F.col("status_code"))),
-        ).alias("error"),
+        fetch_error().alias("error"),
     )
 
 
@@ -187,21 +191,9 @@ def crawl_outcomes(visited: DataFrame, pages: DataFrame) -> DataFrame:
 
     A page that links lead to but that nobody observed counts as failed.
     """
-    _, failed = split_pages(pages)
-    observed = pages.select("url", F.lit(True).alias("_observed"))
-    errors = failed.select(
-        "url",
-        F.coalesce("error", F.concat(F.lit("HTTP status "), F.col("status_code"))).alias("error"),
-    )
-    return (
-        visited.join(observed, "url", "left")
-        .join(errors, "url", "left")
-        .select(
-            "url",
-            "depth",
-            F.coalesce("error", F.when(F.col("_observed").isNull(), "not observed")).alias("error"),
-        )
-    )
+    observed = pages.select("url", F.lit(True).alias("_observed"), fetch_error().alias("error"))
+    error = F.coalesce("error", F.when(F.col("_observed").isNull(), "not observed"))
+    return visited.join(observed, "url", "left").select("url", "depth", error.alias("error"))
 
 
 def fetch_schedule(documents: DataFrame, delay: float = content.REQUEST_DELAY) -> DataFrame:
@@ -212,8 +204,6 @@ def fetch_schedule(documents: DataFrame, delay: float = content.REQUEST_DELAY) -
     earlier ranges. Only a host that crosses a range border needs that, so the list of shifts
     holds at most one row per range and can be broadcast.
     """
-    from pyspark.sql import Window
-
     named = documents.select("url", urls.host_of(F.col("url")).alias("host")).distinct()
     ranges = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = named.repartitionByRange(ranges, "host", "url").withColumn(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions import content
+from docflow.operators import skew
 
 # Which events count as stored and as failed.
 SUCCESS_EVENTS = ("download_success", "upload_ok")
@@ -193,6 +194,17 @@ def duplicate_content(documents: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_files(documents: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """Every file whose content another file has too, and whether it is the one to keep."""
+    found = skew.lookup_join(
+        documents, duplicate_content(documents), ["checksum"], ["filename"], "inner", hot_rows
+    )
+    return found.select(
+        "checksum", "filename", "size", "copies",
+        (F.col("filename") == F.col("keeper")).alias("is_keeper"),
+    )
+
+
 def collection_profile(resources: DataFrame) -> DataFrame:
     """Files and bytes by category and size band, with subtotals and total."""
     return (

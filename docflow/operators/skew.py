@@ -58,13 +58,15 @@ def lookup_join(
     hot_rows: int = HOT_ROWS,
     hot_keys: int = HOT_KEYS,
     slices: int = SLICES,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join of `left` with `right`, whose rows are unique by `keys`.
 
     Rows of `left` that share a hot key are spread over `slices` tasks by a hash of
-    `spread_on`; only the few hot rows of `right` are repeated to meet them.
+    `spread_on`; only the few hot rows of `right` are repeated to meet them. Keys are counted
+    in `count_in` where a cheaper table than `left` has the same keys.
     """
-    hot = heavy_keys(left, keys, hot_rows, hot_keys)
+    hot = heavy_keys(left if count_in is None else count_in, keys, hot_rows, hot_keys)
     spread = sliced(left, hot, keys, spread_on, slices)
     return spread.join(replicated(right, hot, keys, slices), [*keys, "_slice"], how).drop("_slice")
 

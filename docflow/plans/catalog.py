@@ -483,16 +483,16 @@ def latest_by_filename(spark, sf_dir):
 
 @query(f"""
 WITH {_TRIES}
-SELECT 'file-' || l_orderkey AS file, ok, attempts, failures, nullif(last_message, '') AS last_error
+SELECT l_orderkey, ok, attempts, failures, nullif(last_message, '') AS last_error
 FROM folded""")
 def fold_attempts(spark, sf_dir):
     items = derived.item_attempts(spark, sf_dir)
-    return outcome.fold_attempts(items, ["file"], derived.ATTEMPT_ORDER)
+    return outcome.fold_attempts(items, ["l_orderkey"], derived.ATTEMPT_ORDER)
 
 
 @query(f"""
 WITH {_TRIES}
-SELECT 'file-' || l_orderkey AS file, attempt_no, l_shipdate AS attempted_at,
+SELECT l_orderkey, attempt_no, l_shipdate AS attempted_at,
   l_shipdate + to_seconds(CAST(least(10, greatest(4, pow(2, attempt_no - 1))) AS BIGINT))
     AS next_attempt_at,
   l_shipdate + to_seconds(CAST(least(8, greatest(2, pow(2, attempt_no - 1))) AS BIGINT))
@@ -500,11 +500,11 @@ SELECT 'file-' || l_orderkey AS file, attempt_no, l_shipdate AS attempted_at,
 FROM tries WHERE NOT done AND NOT ok AND attempt_no < 3""")
 def next_attempt(spark, sf_dir):
     tries = outcome.first_attempts(
-        derived.item_attempts(spark, sf_dir), ["file"], derived.ATTEMPT_ORDER
+        derived.item_attempts(spark, sf_dir), ["l_orderkey"], derived.ATTEMPT_ORDER
     )
     n, at = F.col("attempt_no"), F.col("attempted_at")
     return tries.filter(~F.col("ok") & (n < content.MAX_ATTEMPTS)).select(
-        "file",
+        "l_orderkey",
         "attempt_no",
         "attempted_at",
         content.next_attempt_at(n, at).alias("next_attempt_at"),
@@ -739,6 +739,15 @@ def error_patterns(spark, sf_dir):
     return reports.error_patterns(derived.event_log(spark, sf_dir)).drop("approx_files")
 
 
+def _contents(spark, sf_dir) -> DataFrame:
+    """Checksum and size of every document's whole text."""
+    return derived.resources(spark, sf_dir).select(
+        "filename",
+        content.content_checksum(F.col("text").cast("binary")).alias("checksum"),
+        F.octet_length("text").cast("bigint").alias("size"),
+    )
+
+
 @query("""
 WITH sums AS (
   SELECT sha256(text) AS checksum, 'doc-' || doc_id || '.pdf' AS filename, strlen(text) AS size
@@ -747,12 +756,21 @@ SELECT checksum, count(*) AS copies, min(filename) AS keeper,
   CAST(sum(size) - max(size) AS BIGINT) AS wasted_bytes
 FROM sums GROUP BY checksum HAVING count(*) > 1""")
 def duplicate_content(spark, sf_dir):
-    docs = derived.resources(spark, sf_dir).select(
-        "filename",
-        F.sha2("text", 256).alias("checksum"),
-        F.octet_length("text").cast("bigint").alias("size"),
-    )
-    return reports.duplicate_content(docs)
+    return reports.duplicate_content(_contents(spark, sf_dir))
+
+
+@query("""
+WITH sums AS (
+  SELECT sha256(text) AS checksum, 'doc-' || doc_id || '.pdf' AS filename,
+    CAST(strlen(text) AS BIGINT) AS size
+  FROM documents),
+counted AS (
+  SELECT checksum, filename, size, count(*) OVER (PARTITION BY checksum) AS copies,
+    filename = min(filename) OVER (PARTITION BY checksum) AS is_keeper
+  FROM sums)
+SELECT * FROM counted WHERE copies > 1""")
+def duplicate_files(spark, sf_dir):
+    return reports.duplicate_files(_contents(spark, sf_dir))
 
 
 @query(f"""

@@ -107,9 +107,8 @@ ATTEMPT_ORDER = [
 
 
 def item_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as attempts: one file per order, a returned item is a failed attempt."""
+    """Line items as attempts of the order's file; a returned item is a failed attempt."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "concat('file-', l_orderkey) AS file",
         *ATTEMPT_ORDER,
         "l_orderkey",
         "l_returnflag <> 'R' AS ok",

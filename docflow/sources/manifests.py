@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -60,29 +60,29 @@ class ManifestStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _commits(self) -> list:
-        """One small row per run since the last snapshot, oldest first."""
+    def commits(self, run_id: str | None = None) -> tuple[list[Row], bool]:
+        """Runs since the last snapshot, oldest first, and whether `run_id` is committed.
+
+        One pass over one row per run; what is collected shrinks with every snapshot.
+        """
         try:
             rows = self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            return []
-        since = rows.filter("kind = 'snapshot'").agg(F.coalesce(F.max("seq"), F.lit(-1)))
-        return rows.filter(F.col("seq") >= since.scalar()).orderBy("seq").collect()
+            return [], False
+        since = rows.filter("kind = 'snapshot'").agg(F.coalesce(F.max("seq"), F.lit(-1))).scalar()
+        kept = rows.filter((F.col("seq") >= since) | (F.col("run_id") == F.lit(run_id)))
+        found = kept.withColumn("current", F.col("seq") >= since).collect()
+        current = sorted((r for r in found if r.current), key=lambda r: r.seq)
+        return current, any(r.run_id == run_id for r in found)
 
     def has_run(self, run_id: str) -> bool:
-        try:
-            rows = self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return False
-        return not rows.filter(F.col("run_id") == run_id).isEmpty()
+        return self.commits(run_id)[1]
 
     def read(self) -> DataFrame:
         """The current manifest."""
-        commits = self._commits()
+        commits, _ = self.commits()
         if not commits:
             return empty_manifest(self.spark)
         folders = [f"{self.path}/runs/{c.seq}-{c.run_id}" for c in commits]
@@ -93,15 +93,17 @@ class ManifestStore:
 
     def append(self, entries: DataFrame, run_id: str) -> None:
         """Adds a run's entries, unique by file name; a run already committed is left alone."""
-        if not self.has_run(run_id):
-            self._write(entries, run_id, "delta")
+        commits, known = self.commits(run_id)
+        if not known:
+            self._write(entries, run_id, "delta", commits)
 
     def compact(self, run_id: str) -> None:
         """Writes the current manifest as a snapshot from which reading starts anew."""
-        self._write(self.read(), run_id, "snapshot")
+        commits, known = self.commits(run_id)
+        if not known:
+            self._write(self.read(), run_id, "snapshot", commits)
 
-    def _write(self, entries: DataFrame, run_id: str, kind: str) -> None:
-        commits = self._commits()
+    def _write(self, entries: DataFrame, run_id: str, kind: str, commits: list[Row]) -> None:
         seq = commits[-1].seq + 1 if commits else 0
         entries.withColumn("seq", F.lit(seq).cast("bigint")).write.mode("overwrite").parquet(
             f"{self.path}/runs/{seq}-{run_id}"

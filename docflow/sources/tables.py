@@ -32,3 +32,12 @@ def read_attempts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.BODIES).parquet(path)
+
+
+def write_profiles(profiles: DataFrame, path: str) -> None:
+    """Appends page profiles."""
+    conform(profiles, schemas.PAGE_PROFILE).write.mode("append").parquet(path)
+
+
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.PAGE_PROFILE).parquet(path)

@@ -52,7 +52,7 @@ def process_batch(
     stored = outcomes.filter(F.col("status") == "success")
     rows = outcome.manifest_rows(stored, F.col("observed_at"), store.path)
     store.append(rows, run_id)
-    if len(store._commits()) >= compact_every:
+    if len(store.commits()[0]) >= compact_every:
         store.compact(f"{run_id}-compact")
 
 

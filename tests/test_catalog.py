@@ -51,7 +51,7 @@ def test_core_operators_stay_in_the_jvm(spark, name):
 
 def test_attempt_ranks_are_limited_before_the_shuffle(spark):
     items = derived.item_attempts(spark, DATA)
-    plan = _plan(outcome.first_attempts(items, ["file"], derived.ATTEMPT_ORDER))
+    plan = _plan(outcome.first_attempts(items, ["l_orderkey"], derived.ATTEMPT_ORDER))
     before_exchange = plan[plan.index("Exchange"):]
     assert f"row_number(), {content.MAX_ATTEMPTS}, Partial" in before_exchange
 

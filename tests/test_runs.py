@@ -145,6 +145,7 @@ def test_change_rules_in_order(spark):
         "j": (True, (None, u("j"), JAN1), "0", JAN1, "size_changed"),
         "k": (True, (5, u("k"), JAN2), "5", "", "unchanged"),
         "l": (False, None, "5x", JAN1, "head_error"),
+        "m": (True, (5, u("m"), JAN1), "5.0", JAN1, "head_error"),
     }
     docs = spark.createDataFrame([(u(n),) for n in cases], "url string")
     manifest = spark.createDataFrame(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow import reliable, schemas
-from docflow.operators import outcome
+from docflow.operators import crawl, outcome
 from docflow.sources import documents, events, manifests, storage, tables
 
 
@@ -66,12 +66,12 @@ def test_manifest_store(spark, tmp_path):
     store.append(_manifest(spark, [("a", 99)]), "r1")  # a repeated run is left alone
     assert sizes() == {"a": 1, "b": 2, "c": 2}
     store.compact("k1")
-    assert len(store._commits()) == 1 and sizes() == {"a": 1, "b": 2, "c": 2}
+    assert len(store.commits()[0]) == 1 and sizes() == {"a": 1, "b": 2, "c": 2}
     store.append(_manifest(spark, [("a", 3)]), "r3")
     assert sizes() == {"a": 3, "b": 2, "c": 2}
     # Data of a run that died before its commit is not seen, and is replaced later.
     _manifest(spark, [("a", 77)]).withColumn("seq", F.lit(5).cast("bigint")).write.parquet(
-        str(tmp_path / "store" / "runs" / f"{store._commits()[-1].seq + 1}-r4"))
+        str(tmp_path / "store" / "runs" / f"{store.commits()[0][-1].seq + 1}-r4"))
     assert sizes()["a"] == 3
     store.append(_manifest(spark, [("a", 4)]), "r4")
     assert sizes()["a"] == 4
@@ -147,6 +147,13 @@ def test_tables_round_trip(spark, tmp_path):
     assert tables.read_pages(spark, str(tmp_path / "bare")).first().status_code is None
 
 
+def test_profiles_round_trip(spark, tmp_path):
+    page = spark.createDataFrame([(1, "u", "<title>t</title>x", 200, None)], schemas.PAGES)
+    profile = crawl.page_profile(page)
+    tables.write_profiles(profile, str(tmp_path / "p"))
+    assert tables.read_profiles(spark, str(tmp_path / "p")).collect() == profile.collect()
+
+
 def test_storage_uri():
     assert storage.storage_uri("s3", "b", "/p/q/") == "s3a://b/p/q"
     assert storage.storage_uri("gcs", "b") == "gs://b"

@@ -39,10 +39,10 @@ def test_incremental_stream(spark, tmp_path):
     assert _sizes(store) == {"a.pdf": (16, 1), "b.pdf": (17, 1)}
     advance([_row("a", "1", 1), _row("b", "22 more", 1), _row("c", "1", 1)])
     assert _sizes(store) == {"a.pdf": (16, 1), "b.pdf": (22, 2), "c.pdf": (16, 2)}
-    commits = len(store._commits())
+    commits = len(store.commits()[0])
     advance([_row("a", "1", 2), _row("b", "22 more", 2)])  # nothing new: an empty run
     assert _sizes(store) == {"a.pdf": (16, 1), "b.pdf": (22, 2), "c.pdf": (16, 2)}
-    assert len(store._commits()) == commits + 1
+    assert len(store.commits()[0]) == commits + 1
 
 
 def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
@@ -54,7 +54,7 @@ def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
     assert _sizes(store) == {"a.pdf": (16, 1)}
     incremental.process_batch(other, store, "batch-1", compact_every=2)
     assert _sizes(store) == {"a.pdf": (18, 6)}
-    assert [c.kind for c in store._commits()] == ["snapshot"]
+    assert [c.kind for c in store.commits()[0]] == ["snapshot"]
 
 
 def test_repeated_observations(spark, tmp_path):
