@@ -81,9 +81,9 @@ def reachable(
 ) -> DataFrame:
     """(url, depth) of every page reached from `root` over (page_url, target_url) links.
 
-    One job per depth. The links are laid out by page once and cached with that layout, so a
-    step moves only its frontier; a hub page's links are spread over several tasks. A lost
-    cached block is rebuilt from the table behind `links`.
+    One job per depth. The links are laid out and sorted by page once and cached that way, so
+    a step moves only its frontier and never shuffles or sorts links again; a hub page's links
+    are spread over several tasks. A lost cached block is rebuilt from the table behind `links`.
     """
     spark = links.sparkSession
     edges = links.select("page_url", "target_url")
@@ -92,7 +92,9 @@ def reachable(
     if not hot.isEmpty():
         edges = skew.sliced(edges, hot, ["page_url"], ["target_url"], slices)
         keys.append("_slice")
-    graph = edges.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    graph = (
+        edges.repartition(*keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    )
     frontier = spark.createDataFrame([(root, 0)], "url string, depth int")
     visited = frontier
     depth = 0

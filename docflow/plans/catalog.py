@@ -30,22 +30,27 @@ def run_at() -> Column:
     return F.lit("2025-02-01 00:00:00").cast("timestamp")
 
 
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name; timestamps leave it without a zone."""
+def query(sql: str, fill: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Registers a query under its function's name; timestamps leave it without a zone.
+
+    Absent numbers in the columns `fill` read -1 on both sides, since tools that compare
+    results disagree on how to show a missing integer.
+    """
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             df = build(spark, sf_dir)
+            if fill:
+                df = df.fillna(-1, list(fill))
             return df.select(*[
                 F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
                 for n, t in df.dtypes
             ])
 
-        key = name or build.__name__
-        QUERIES[key] = run
-        if sql is not None:
-            SQL[key] = sql
+        QUERIES[build.__name__] = run
+        filled = ", ".join(f"coalesce({c}, -1) AS {c}" for c in fill)
+        SQL[build.__name__] = f"SELECT * REPLACE ({filled}) FROM ({sql}) AS q" if fill else sql
         return build
 
     return register
@@ -328,7 +333,7 @@ SELECT CASE WHEN failed THEN 'failure' ELSE 'success' END AS status, url,
   CASE WHEN failed THEN '' ELSE substr(
     {_PLAIN.format("regexp_replace(rest, '<[a-zA-Z!/][^>]*>', '', 'g')")}, 1, 500) END AS sample_text,
   CASE WHEN failed THEN coalesce(error, 'HTTP status ' || status_code) END AS error
-FROM shown""")
+FROM shown""", fill=("status_code", "content_length"))
 def page_profile(spark, sf_dir):
     return crawl.page_profile(_observed_pages(spark, sf_dir))
 
@@ -396,7 +401,7 @@ def fetch_schedule(spark, sf_dir):
 
 @query(f"""
 WITH {_RES}, {_HEADS}
-SELECT url, content_length, last_modified, head_error FROM heads""")
+SELECT url, content_length, last_modified, head_error FROM heads""", fill=("content_length",))
 def head_parse(spark, sf_dir):
     return change.head_observations(derived.heads(spark, sf_dir))
 
@@ -417,14 +422,14 @@ SELECT url, filename, content_length, last_modified, head_error,
 FROM decided"""
 
 
-@query(f"WITH {_RES}, {_MANIFEST}, {_HEADS}, {_DECIDED} {_DECISION}")
+@query(f"WITH {_RES}, {_MANIFEST}, {_HEADS}, {_DECIDED} {_DECISION}", fill=("content_length",))
 def change_decision(spark, sf_dir):
     return _decided(spark, sf_dir)
 
 
 @query(f"""
 WITH {_RES}, {_MANIFEST}, {_HEADS}, {_DECIDED} {_DECISION}
-WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""")
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""", fill=("content_length",))
 def restricted_plan(spark, sf_dir):
     """Only URLs of documents that somebody labelled good."""
     good = derived.table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -492,7 +497,7 @@ def fold_attempts(spark, sf_dir):
 
 @query(f"""
 WITH {_TRIES}
-SELECT l_orderkey, attempt_no, l_shipdate AS attempted_at,
+SELECT l_orderkey, CAST(attempt_no AS INTEGER) AS attempt_no, l_shipdate AS attempted_at,
   l_shipdate + to_seconds(CAST(least(10, greatest(4, pow(2, attempt_no - 1))) AS BIGINT))
     AS next_attempt_at,
   l_shipdate + to_seconds(CAST(least(8, greatest(2, pow(2, attempt_no - 1))) AS BIGINT))
@@ -560,7 +565,7 @@ def _outcomes(spark, sf_dir, mode: str = "incremental") -> DataFrame:
     )
 
 
-@query(f"{_OUTCOME} SELECT * FROM outcome_rows")
+@query(f"{_OUTCOME} SELECT * FROM outcome_rows", fill=("content_length", "body_size"))
 def outcome_status(spark, sf_dir):
     return _outcomes(spark, sf_dir)
 
@@ -608,7 +613,7 @@ SELECT 'run-1', t.l_shipdate, 'download_retry', o.url, o.filename,
   'HTTP 503 from part ' || t.l_partkey, NULL, NULL, NULL, NULL
 FROM outcomes o JOIN tries t ON t.l_orderkey = o.doc_id AND o.url LIKE '{ROOT}/%'
 WHERE NOT t.done AND NOT t.ok AND o.decision <> 'error'
-  AND o.status NOT IN ('skipped_unchanged', 'too_large')""")
+  AND o.status NOT IN ('skipped_unchanged', 'too_large')""", fill=("size", "pdf_count", "retry_count"))
 def events_from_outcomes(spark, sf_dir):
     outcomes = saved(_outcomes(spark, sf_dir), "outcomes")
     return outcome.events_from_outcomes(outcomes, "run-1", run_at()).unionByName(
@@ -689,7 +694,7 @@ fetch_log AS (
 SELECT event_type, CAST(sum(n) AS BIGINT) AS n,
   CAST(max(CASE WHEN event_type = 'crawl_complete' THEN (SELECT count(*) FROM found) END) AS BIGINT)
     AS pdf_count
-FROM (SELECT * FROM crawl_log UNION ALL SELECT * FROM fetch_log) GROUP BY event_type""")
+FROM (SELECT * FROM crawl_log UNION ALL SELECT * FROM fetch_log) GROUP BY event_type""", fill=("pdf_count",))
 def full_run_events(spark, sf_dir):
     """A run that ignores the manifest, in the older event names: events per name."""
     return _run(spark, sf_dir, "full").events.groupBy("event_type").agg(
@@ -801,7 +806,7 @@ WITH {_LOG}, days AS (
 SELECT strftime(day, '%Y-%m-%d') AS day, files, bytes,
   files - lag(files) OVER (ORDER BY day) AS files_delta,
   bytes - lag(bytes) OVER (ORDER BY day) AS bytes_delta
-FROM days""")
+FROM days""", fill=("files_delta", "bytes_delta"))
 def daily_trend(spark, sf_dir):
     trend = reports.daily_trend(derived.event_log(spark, sf_dir))
     return trend.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
