@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from docflow.functions import content
 from docflow.operators import change, crawl, outcome, reports
 from docflow.reliable import saved
+from docflow.sources import documents as stored_bodies
+from docflow.sources.events import write_events
+from docflow.sources.manifests import ManifestStore
 
 
 @dataclass
@@ -24,6 +27,7 @@ class Run:
     manifest: DataFrame
     new_entries: DataFrame
     summary: DataFrame
+    run_id: str
 
 
 def run_discovery(
@@ -98,5 +102,20 @@ def run_collection(
         mode,
     )
     return Run(
-        found.visited, documents, outcomes, results, events, updated, new_entries, summary
+        found.visited, documents, outcomes, results, events, updated, new_entries, summary, run_id
     )
+
+
+def store_run(
+    run: Run, bodies: DataFrame, store: ManifestStore, documents_path: str, events_path: str
+) -> None:
+    """Writes what a run left: bodies, then the manifest entries that name them, then events.
+
+    Storing a run again after a failure replaces its bodies and events and leaves a committed
+    manifest alone. The run must have been made from `store.read()`.
+    """
+    stored_bodies.write_documents(
+        stored_bodies.select_stored(bodies, run.outcomes), documents_path, run.run_id
+    )
+    store.append(run.new_entries, run.run_id)
+    write_events(run.events, events_path)

@@ -19,12 +19,13 @@ def shared_dir(spark: SparkSession) -> str:
     machine-local folder would be lost with the machine, so the setting is required there.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-            configured = tempfile.mkdtemp(prefix="docflow-checkpoint-")
+    current = context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and current is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="docflow-checkpoint-")
+    if configured is not None and configured.rstrip("/") not in (current or ""):
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

@@ -35,19 +35,22 @@ def read_folder(spark: SparkSession, folder: str, max_length: int) -> DataFrame:
     )
 
 
-def select_stored(bodies: DataFrame, outcomes: DataFrame) -> DataFrame:
+def select_stored(
+    bodies: DataFrame, outcomes: DataFrame, keys: tuple[str, ...] = ("url",)
+) -> DataFrame:
     """Bodies of URLs with success, with file name and checksum.
 
     Nearly all fetched bodies are stored, so the few that are not make the smaller list.
     Where that list is short it is broadcast and content stays where it was read; else
-    bodies are joined by URL.
+    bodies are joined by key.
     """
-    stored = outcomes.filter(F.col("status") == "success")
-    refused = bodies.select("url").join(stored.select("url"), "url", "left_anti").distinct()
+    keys = list(keys)
+    stored = outcomes.filter(F.col("status") == "success").select(*keys)
+    refused = bodies.select(*keys).join(stored, keys, "left_anti").distinct()
     if refused.limit(BROADCAST_URLS + 1).count() <= BROADCAST_URLS:
-        kept = bodies.join(F.broadcast(refused), "url", "left_anti")
+        kept = bodies.join(F.broadcast(refused), keys, "left_anti")
     else:
-        kept = bodies.join(stored.select("url"), "url", "left_semi")
+        kept = bodies.join(stored, keys, "left_semi")
     return kept.select(
         document_filename(F.col("url")).alias("filename"),
         "url",

@@ -15,8 +15,18 @@ _OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def write_events(events: DataFrame, path: str, format: str = "parquet") -> None:
-    """Appends events, one folder per run; JSON is written as one object per line."""
-    events.write.mode("append").partitionBy("run_id").format(format).options(**_OPTIONS).save(path)
+    """Writes events, one folder per run; a run written again replaces itself only.
+
+    JSON is written as one object per line.
+    """
+    (
+        events.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**_OPTIONS)
+        .partitionBy("run_id")
+        .format(format)
+        .save(path)
+    )
 
 
 def read_events(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:

@@ -11,6 +11,7 @@ from docflow.operators import change, outcome
 from docflow.operators.skew import latest_by
 from docflow.reliable import saved
 from docflow.schemas import FOLDED_ATTEMPTS
+from docflow.sources import documents
 from docflow.sources.manifests import ManifestStore
 
 
@@ -22,10 +23,17 @@ def distinct_observations(stream: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def process_batch(
-    batch: DataFrame, store: ManifestStore, run_id: str, cap: int = content.SIZE_CAP,
+    batch: DataFrame,
+    store: ManifestStore,
+    run_id: str,
+    cap: int = content.SIZE_CAP,
     compact_every: int = 50,
+    documents_path: str | None = None,
 ) -> None:
-    """One run over a micro-batch. Repeating a committed run changes nothing."""
+    """One run over a micro-batch. Repeating a committed run changes nothing.
+
+    With `documents_path`, bodies are stored before the manifest that names them.
+    """
     if store.has_run(run_id):
         return
     # Several observations of a URL in one batch: the latest one counts. Content is
@@ -49,8 +57,11 @@ def process_batch(
         ),
         "stream-outcomes",
     )
-    stored = outcomes.filter(F.col("status") == "success")
-    rows = outcome.manifest_rows(stored, F.col("observed_at"), store.path)
+    if documents_path is not None:
+        stored = documents.select_stored(batch, outcomes, ("url", "observed_at"))
+        documents.write_documents(stored, documents_path, run_id)
+    # File names with several URLs keep the last stored one, with its own time.
+    rows = outcome.manifest_rows(outcomes, F.col("observed_at"), documents_path or store.path)
     store.append(rows, run_id)
     if len(store.commits()[0]) >= compact_every:
         store.compact(f"{run_id}-compact")
@@ -63,6 +74,7 @@ def incremental_stream(
     run_prefix: str = "batch",
     cap: int = content.SIZE_CAP,
     trigger: dict | None = None,
+    documents_path: str | None = None,
 ) -> StreamingQuery:
     """Runs every micro-batch against the manifest and appends what it stored.
 
@@ -72,7 +84,9 @@ def incremental_stream(
     store = ManifestStore(observations.sparkSession, store_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, store, f"{run_prefix}-{batch_id}", cap)
+        process_batch(
+            batch, store, f"{run_prefix}-{batch_id}", cap, documents_path=documents_path
+        )
 
     return (
         observations.writeStream.foreachBatch(run)

@@ -7,7 +7,7 @@ from docflow import schemas
 from docflow.operators import crawl, outcome
 from docflow.plans.collection import run_discovery
 
-ROOT = "https://docs.example.org/dod/ufc"
+ROOT = "https://docs.example.org/lib/specs"
 SITE = "https://docs.example.org"
 
 
@@ -27,10 +27,10 @@ def urls_of(df):
 def test_links_relative_to_a_root_without_slash_leave_the_scope(spark):
     site = pages(spark, [
         (ROOT, anchors("document1.pdf", "subpage.html", "external.pdf")),
-        (f"{SITE}/dod/subpage.html", anchors("document2.pdf", "https://external.example/doc.pdf")),
+        (f"{SITE}/lib/subpage.html", anchors("document2.pdf", "https://external.example/doc.pdf")),
     ])
     found = crawl.discover(site, ROOT)
-    assert urls_of(found.documents) == {f"{SITE}/dod/document1.pdf", f"{SITE}/dod/external.pdf"}
+    assert urls_of(found.documents) == {f"{SITE}/lib/document1.pdf", f"{SITE}/lib/external.pdf"}
     assert urls_of(found.visited) == {ROOT}
 
 
@@ -47,22 +47,22 @@ def test_failed_root(spark):
 def test_walk_rules(spark):
     site = pages(spark, [
         (ROOT, anchors(
-            "/dod/ufc/a", "/dod/ufc-old/", "#top", "?p=2", "mailto:x.pdf", "//cdn.example/y.PDF",
-            "/dod/ufc/x.pdf?v=1", "/elsewhere", "http://[bad/z.pdf")),
-        (f"{ROOT}/a", anchors("../../up.pdf", "/dod/ufc/a", "/dod/ufc")),
-        (f"{SITE}/dod/ufc-old/", anchors("old.pdf")),
+            "/lib/specs/a", "/lib/specs-old/", "#top", "?p=2", "mailto:x.pdf", "//cdn.example/y.PDF",
+            "/lib/specs/x.pdf?v=1", "/elsewhere", "http://[bad/z.pdf")),
+        (f"{ROOT}/a", anchors("../../up.pdf", "/lib/specs/a", "/lib/specs")),
+        (f"{SITE}/lib/specs-old/", anchors("old.pdf")),
         (f"{ROOT}/x.pdf?v=1", anchors("/q.pdf")),
         (f"{SITE}/elsewhere", anchors("/never.pdf")),
         (f"{ROOT}#top", None, None, "timed out"),
     ])
     found = crawl.discover(site, ROOT)
     assert urls_of(found.visited) == {
-        ROOT, f"{ROOT}/a", f"{SITE}/dod/ufc-old/", f"{ROOT}#top", f"{ROOT}?p=2", f"{ROOT}/x.pdf?v=1"}
+        ROOT, f"{ROOT}/a", f"{SITE}/lib/specs-old/", f"{ROOT}#top", f"{ROOT}?p=2", f"{ROOT}/x.pdf?v=1"}
     assert {r["url"]: r["filename"] for r in found.documents.collect()} == {
         "mailto:x.pdf": "x.pdf",
         "https://cdn.example/y.PDF": "y.PDF",
         f"{SITE}/up.pdf": "up.pdf",
-        f"{SITE}/dod/ufc-old/old.pdf": "old.pdf",
+        f"{SITE}/lib/specs-old/old.pdf": "old.pdf",
         f"{SITE}/q.pdf": "q.pdf",
     }
     assert found.links.filter("target_url is null").count() == 1
@@ -126,7 +126,7 @@ def test_fetch_schedule_ranks_within_hosts(spark):
 
 
 def test_events_of_a_full_mode_crawl(spark):
-    site = pages(spark, [(ROOT, anchors("a.pdf", "/dod/ufc/x"))])
+    site = pages(spark, [(ROOT, anchors("a.pdf", "/lib/specs/x"))])
     found = crawl.discover(site, ROOT)
     events = outcome.events_from_crawl(
         crawl.crawl_outcomes(found.visited, site), found.documents, "r", F.current_timestamp(), "full")

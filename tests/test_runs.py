@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.functions import content
 from docflow.operators import change, outcome, reports
-from docflow.plans.collection import run_collection
-from docflow.sources.manifests import empty_manifest
+from docflow.plans.collection import run_collection, store_run
+from docflow.sources import documents
+from docflow.sources.events import read_events
+from docflow.sources.manifests import ManifestStore, empty_manifest
 
-ROOT = "https://docs.example.org/dod/ufc"
-D1, D2 = "https://docs.example.org/dod/UFC-1.pdf", "https://docs.example.org/dod/UFC-3.pdf"
+ROOT = "https://docs.example.org/lib/specs"
+D1, D2 = "https://docs.example.org/lib/SPEC-1.pdf", "https://docs.example.org/lib/SPEC-3.pdf"
 JAN1, JAN2 = "Wed, 01 Jan 2025 00:00:00 GMT", "Thu, 02 Jan 2025 00:00:00 GMT"
 
 
@@ -43,22 +45,22 @@ def _statuses(run):
 
 
 def test_three_incremental_runs(spark):
-    site = _site(spark, "UFC-1.pdf", "UFC-3.pdf")
+    site = _site(spark, "SPEC-1.pdf", "SPEC-3.pdf")
     b1, b2 = b"%PDF-1.4\none\n%%EOF", b"%PDF-1.4\ntwo\n%%EOF"
     first = _run(spark, site, _tables(spark, [(D1, b1), (D2, b2)]), empty_manifest(spark))
-    assert _statuses(first) == {"UFC-1.pdf": "success", "UFC-3.pdf": "success"}
+    assert _statuses(first) == {"SPEC-1.pdf": "success", "SPEC-3.pdf": "success"}
     summary = first.summary.first()
     assert (summary.pages_visited, summary.pdfs_found, summary.success_count, summary.skipped_count,
             summary.total_files_tracked, summary.incremental_mode) == (1, 2, 2, 0, 2, True)
-    entry = {r["filename"]: r for r in first.manifest.collect()}["UFC-1.pdf"]
+    entry = {r["filename"]: r for r in first.manifest.collect()}["SPEC-1.pdf"]
     assert (entry.url, entry.size, entry.checksum, entry.last_modified, entry.local_path) == (
-        D1, len(b1), hashlib.sha256(b1).hexdigest(), JAN1, "documents/UFC-1.pdf")
+        D1, len(b1), hashlib.sha256(b1).hexdigest(), JAN1, "documents/SPEC-1.pdf")
     assert sorted(r["event_type"] for r in first.events.collect()) == [
         "crawl_complete", "crawl_success", "download_success", "download_success"]
 
     second = _run(spark, site, _tables(spark, [], [(D1, str(len(b1)), JAN1, None),
                                                    (D2, str(len(b2)), JAN1, None)]), first.manifest)
-    assert _statuses(second) == {"UFC-1.pdf": "skipped_unchanged", "UFC-3.pdf": "skipped_unchanged"}
+    assert _statuses(second) == {"SPEC-1.pdf": "skipped_unchanged", "SPEC-3.pdf": "skipped_unchanged"}
     assert second.summary.first().skipped_count == 2
     assert not [r for r in second.events.collect() if r["event_type"].startswith("download")]
 
@@ -67,14 +69,29 @@ def test_three_incremental_runs(spark):
         spark, site,
         _tables(spark, [(D1, longer)], [(D1, str(len(longer)), JAN2, None), (D2, str(len(b2)), JAN1, None)]),
         second.manifest, at="2025-01-06 00:00:00")
-    assert _statuses(third) == {"UFC-1.pdf": "success", "UFC-3.pdf": "skipped_unchanged"}
+    assert _statuses(third) == {"SPEC-1.pdf": "success", "SPEC-3.pdf": "skipped_unchanged"}
     status = reports.incremental_status(third.manifest, "here").first()
     assert (status.total_files, status.status, status.metadata_file) == (2, "ready_for_incremental", "here")
     assert status.latest_download == datetime(2025, 1, 6)
-    updated = {r["filename"]: r for r in third.manifest.collect()}["UFC-1.pdf"]
+    updated = {r["filename"]: r for r in third.manifest.collect()}["SPEC-1.pdf"]
     assert (updated.size, updated.last_modified) == (len(longer), JAN2)
 
 
+def test_stored_runs(spark, tmp_path):
+    store = ManifestStore(spark, str(tmp_path / "manifest"))
+    docs, log = str(tmp_path / "docs"), str(tmp_path / "events")
+    site = _site(spark, "SPEC-1.pdf", "SPEC-3.pdf")
+    b1, b2 = b"%PDF-1.4\none\n%%EOF", b"no document"
+    tables = _tables(spark, [(D1, b1), (D2, b2)])
+    for _ in range(2):  # the second time as after a failure: nothing is doubled
+        store_run(_run(spark, site, tables, empty_manifest(spark)), tables[2], store, docs, log)
+    assert [r["filename"] for r in store.read().collect()] == ["SPEC-1.pdf"]
+    assert read_events(spark, log).count() == 4
+    latest = documents.latest_documents(spark, docs)
+    content_rows = documents.document_contents(spark, docs, latest).collect()
+    assert [(r["filename"], bytes(r["content"])) for r in content_rows] == [("SPEC-1.pdf", b1)]
+
+
 def test_status_without_downloads(spark):
     status = reports.incremental_status(empty_manifest(spark), "here").first()
     assert status.asDict() == {
@@ -85,7 +102,7 @@ def test_status_without_downloads(spark):
 def test_statuses_of_single_documents(spark):
     names = ["ok", "big", "edge", "bad", "nohead", "badlen", "dead", "third", "nobody"]
     site = _site(spark, *[f"{n}.pdf" for n in names])
-    u = {n: f"https://docs.example.org/dod/{n}.pdf" for n in names}
+    u = {n: f"https://docs.example.org/lib/{n}.pdf" for n in names}
     pdf = b"%PDF-1.4\n%%EOF"
     when = datetime(2025, 1, 1)
     tables = _tables(
@@ -123,11 +140,11 @@ def test_statuses_of_single_documents(spark):
 
 
 def test_restricted_run(spark):
-    site = _site(spark, "UFC-1.pdf", "UFC-3.pdf")
+    site = _site(spark, "SPEC-1.pdf", "SPEC-3.pdf")
     only = spark.createDataFrame([(D2,)], "url string")
     run = _run(spark, site, _tables(spark, [(D1, b"%PDF-\n%%EOF"), (D2, b"%PDF-\n%%EOF")]),
                empty_manifest(spark), only=only)
-    assert _statuses(run) == {"UFC-3.pdf": "success"}
+    assert _statuses(run) == {"SPEC-3.pdf": "success"}
 
 
 def test_change_rules_in_order(spark):

@@ -164,23 +164,32 @@ def test_storage_uri():
             storage.storage_uri(*args)
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    class Context:
-        master = "yarn"
+class _Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
 
-        def getCheckpointDir(self):
-            return None
+    def getCheckpointDir(self):
+        return self.folder
 
-    class Conf:
-        def get(self, key, default):
-            return default
+    def setCheckpointDir(self, folder):
+        self.folder = f"file:{folder}/unique"
 
-    class Session:
-        sparkContext, conf = Context(), Conf()
 
+class _Session:
+    def __init__(self, master, setting=None, folder=None):
+        self.sparkContext = _Context(master, folder)
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+
+
+def test_shared_folder(spark):
     with pytest.raises(ValueError):
-        reliable.shared_dir(Session())
+        reliable.shared_dir(_Session("yarn"))
+    assert reliable.shared_dir(_Session("yarn", "/shared/cp")) == "file:/shared/cp/unique"
+    assert reliable.shared_dir(_Session("yarn", "/shared/cp", "file:/other/x")) == "file:/shared/cp/unique"
+    assert reliable.shared_dir(_Session("yarn", "/shared/cp", "file:/shared/cp/a")) == "file:/shared/cp/a"
+    assert "docflow-checkpoint-" in reliable.shared_dir(_Session("local[2]"))
     assert reliable.shared_dir(spark) == spark.sparkContext.getCheckpointDir()
+    assert reliable.new_folder(spark, "x").startswith(reliable.shared_dir(spark))
 
 
 def test_event_schema_of_derived_events(spark):

@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from docflow import schemas
 from docflow.operators import monitor
+from docflow.sources import documents
 from docflow.sources.manifests import ManifestStore
 from docflow.streaming import alerts, incremental
 
 T0 = datetime(2025, 1, 1)
-PDF = b"%PDF-1.4\n%s\n%%%%EOF"
 
 
 def _write(spark, path, rows):
@@ -47,12 +47,15 @@ def test_incremental_stream(spark, tmp_path):
 
 def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
     store = ManifestStore(spark, str(tmp_path / "store"))
-    rows = spark.createDataFrame([_row("a", "1", 0)], schemas.OBSERVATIONS)
+    docs = str(tmp_path / "docs")
+    rows = spark.createDataFrame([_row("a", "1", 0), _row("a", "older", -1)], schemas.OBSERVATIONS)
     other = spark.createDataFrame([_row("a", "123", 5)], schemas.OBSERVATIONS)
-    incremental.process_batch(rows, store, "batch-0")
-    incremental.process_batch(other, store, "batch-0")
+    incremental.process_batch(rows, store, "batch-0", documents_path=docs)
+    incremental.process_batch(other, store, "batch-0", documents_path=docs)
     assert _sizes(store) == {"a.pdf": (16, 1)}
-    incremental.process_batch(other, store, "batch-1", compact_every=2)
+    bodies = documents.document_contents(spark, docs, documents.latest_documents(spark, docs))
+    assert [bytes(r["content"]) for r in bodies.collect()] == [b"%PDF-1.4\n1\n%%EOF"]
+    incremental.process_batch(other, store, "batch-1", compact_every=2, documents_path=docs)
     assert _sizes(store) == {"a.pdf": (18, 6)}
     assert [c.kind for c in store.commits()[0]] == ["snapshot"]
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from docflow.functions import urls
 
-ROOT = "https://docs.example.org/dod/ufc"
+ROOT = "https://docs.example.org/lib/specs"
 
 HREFS = [
-    "document1.pdf", "subpage.html", "categories/structural/", "../UFC-1.pdf", "#top", "?p=2",
-    "mailto:x.pdf", "//cdn.x/y.pdf", "/dod/ufc-old/", "", ".", "..", "./", "../", "a/./b/../c",
+    "document1.pdf", "subpage.html", "categories/structural/", "../SPEC-1.pdf", "#top", "?p=2",
+    "mailto:x.pdf", "//cdn.x/y.pdf", "/lib/specs-old/", "", ".", "..", "./", "../", "a/./b/../c",
     "../../../../x", "/a/../../x", "/a//b", "a//b", "a//", "?", "#", "/x?", "/x#", "/x?#", "/x?#f",
     "/x?a#", "g;x=1/../y", ";x", "g;x", "g;x?y#s", "/.", "/..", "/a/.", "/a/..", "...", "..g", "g.",
     "https:g", "HTTPS://Other.example/A/../b?x#y", "http://h/p", "http:rel", "javascript:void(0)",
@@ -19,10 +19,10 @@ HREFS = [
     "#a#b", "?a?b", "/..;p", "x/..;p", "//user@h:80/p", "//[::1]:8080/p", "?/../x", "b/?c=/./d",
 ]
 BASES = [
-    ROOT, "https://docs.example.org/dod/ufc/", "https://docs.example.org",
+    ROOT, "https://docs.example.org/lib/specs/", "https://docs.example.org",
     "http://docs.example.org/a/b/c.html?q=1#frag", "https://docs.example.org/a//b//c",
     "https://docs.example.org/a;p/b;q", "https://docs.example.org?x=1",
-    "https://docs.example.org/dod/ufc/categories/structural/",
+    "https://docs.example.org/lib/specs/categories/structural/",
 ]
 
 
@@ -81,8 +81,8 @@ def test_scope_document_and_root(spark):
     assert [r[1] for r in rows] == [True, True, False, True, True, True]
     assert [r[2] for r in rows] == [False, False, False, False, True, False]
     roots = spark.createDataFrame([("https://h",), ("https://h///",)], "b string")
-    assert {r[0] for r in roots.select(urls.root_url(F.col("b"), "dod/ufc")).collect()} == {
-        "https://h/dod/ufc"}
+    assert {r[0] for r in roots.select(urls.root_url(F.col("b"), "lib/specs")).collect()} == {
+        "https://h/lib/specs"}
 
 
 def test_category(spark):
