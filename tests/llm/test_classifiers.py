@@ -1,0 +1,102 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from docflow.llm import quality, queries, toxicity
+
+DATA = "/root/testdata/sf0.01"
+
+
+def auc(score, label):
+    order = np.argsort(score, kind="stable")
+    ranks = np.empty(len(score))
+    values, inverse, n = np.unique(score, return_inverse=True, return_counts=True)
+    ranks = (np.cumsum(n) - (n - 1) / 2)[inverse]
+    good = np.array(label) == 1
+    assert len(order)
+    return (ranks[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+
+
+def test_quality_on_held_out_rows(spark):
+    rows = {r.doc_id: r for r in queries.op6_quality(spark, DATA).collect()}
+    assert len(rows) == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 3 == 1) for d, r in rows.items())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows.values())
+    out = [(rows[r.doc_id], r.quality) for r in spark.read.parquet(f"{DATA}/labels.parquet").collect() if rows[r.doc_id].held_out]
+    assert auc([r.score for r, _ in out], [q for _, q in out]) > 0.95
+    assert np.mean([r.predicted == q for r, q in out]) > 0.95
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality.fit(docs, flipped) == quality.fit(docs, labels)
+
+
+def test_rules_are_read_from_trees():
+    tree = """DecisionTreeClassificationModel: uid=x, depth=2
+  If (feature 0 <= 0.5)
+   If (feature 1 <= 2.0)
+    Predict: 0.0
+   Else (feature 1 > 2.0)
+    Predict: 1.0
+  Else (feature 0 > 0.5)
+   If (feature 0 <= 0.75)
+    Predict: 0.0
+   Else (feature 0 > 0.75)
+    Predict: 1.0
+"""
+    got = quality.paths(tree, ["a", "b"])
+    assert got == [(("a", "<=", 0.5),), (("a", "<=", 0.5), ("b", "<=", 2.0)), (("a", "<=", 0.5), ("b", ">", 2.0)),
+                   (("a", ">", 0.5),), (("a", "<=", 0.75), ("a", ">", 0.5)), (("a", ">", 0.75),)]
+
+
+def test_compiled_score_is_the_sum_of_rules(spark):
+    model = quality.Ensemble([((("words_log", "<=", 1.0),), 2.0), ((("words_log", ">", 0.5), ("mark_share", "<=", 0.1)), -1.0)], 0.5)
+    df = spark.createDataFrame([(0.2, 0.0), (0.7, 0.0), (3.0, 0.5)], "words_log double, mark_share double")
+    got = [r[0] for r in df.select(model.score()).collect()]
+    assert got == pytest.approx([1 / (1 + np.exp(-x)) for x in (2.5, 1.5, 0.5)])
+
+
+def test_toxicity_on_rows_that_were_not_fitted(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    later = labels.filter("doc_id % 4 = 0").collect()
+    chain = toxicity.fit(docs, labels.filter("doc_id % 4 <> 0"))
+    got = {r.doc_id: r for r in toxicity.judged(docs, chain, ["doc_id"]).collect()}
+    assert len(got) == docs.count()
+    clean = [got[r.doc_id].toxic for r in later if r.toxic == 0]
+    toxic = [got[r.doc_id].toxic for r in later if r.toxic == 1]
+    assert sum(clean) <= 0.01 * len(clean) and sum(toxic) >= 0.7 * len(toxic)
+
+
+def test_chain_feeds_earlier_probabilities():
+    rng = np.random.default_rng(0)
+    x = (rng.random((600, 4)) < 0.5).astype("f8")
+    first = ((x[:, 0] + x[:, 1]) >= 1).astype("f8")
+    second = first * (x[:, 2] > 0)
+    chain, held_out = toxicity.fit_chain(x, {"first": first, "second": second}, list("abcd"), np.arange(600) % toxicity.FOLDS)
+    assert [len(w) for w in chain.weights] == [5, 6]
+    assert chain.weights[1][4] > 0  # the first category's probability speaks for the second
+    assert np.mean((held_out > 0.5) == (second > 0)) > 0.95
+
+
+def test_thresholds():
+    assert toxicity.best_threshold(np.array([0.1, 0.2, 0.8, 0.9]), np.array([0, 0, 1, 1.0])) == pytest.approx(0.5)
+    assert toxicity.best_threshold(np.array([0.3, 0.3, 0.3]), np.array([0, 0, 0.0])) == 0.5
+
+
+def test_hard_cases(spark, hard, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (9, 0, 1), (10, 0, 1), (12, 1, 0), (12, 1, 0), (None, 1, 1), (7, None, None), (99, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    chain = toxicity.fit(hard, labels)
+    assert toxicity.judged(hard, chain, ["doc_id"]).count() == hard.count()
+    assert toxicity.judged(empty, chain, ["doc_id"]).count() == 0
+    none = labels.filter("doc_id < 0")
+    assert not any(r.toxic for r in toxicity.judged(hard, toxicity.fit(hard, none), ["doc_id"]).collect())
+    ensemble = quality.fit(hard, labels)
+    rows = quality.judged(hard, ensemble).collect()
+    assert len(rows) == hard.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r.score for r in quality.judged(hard, quality.fit(hard, none)).collect()} == {0.5}
+    assert quality.judged(empty, ensemble).count() == 0

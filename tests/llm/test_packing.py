@@ -1,0 +1,75 @@
+import struct
+import zlib
+from collections import defaultdict
+
+import pytest
+from tokenizers import Tokenizer
+
+from docflow.llm import packing, queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    t = Tokenizer.from_file(queries.WORDS)
+    t.encode_special_tokens = True
+    return t
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def check(pieces, docs, length, tokenizer):
+    """pieces: rows with ids; docs: (doc_id, text)."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_sequence[p.sequence_id].append(p)
+        assert p.length == len(p.ids) // 4 > 0
+    want = defaultdict(list)
+    for d, t in docs:
+        want[d].append(ids_of(tokenizer, t))
+    assert set(by_doc) == set(want)
+    for d, texts in want.items():
+        assert sum(p.length for p in by_doc[d]) == sum(map(len, texts))
+        if len(texts) == 1:
+            got = b"".join(bytes(p.ids) for p in sorted(by_doc[d], key=lambda p: p.start))
+            assert list(struct.unpack(f"<{len(got) // 4}I", got)) == texts[0]
+            assert {p.doc_tokens for p in by_doc[d]} == {len(texts[0])}
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for s, inside in by_sequence.items():
+        at = 0
+        for p in sorted(inside, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at == length or s == len(by_sequence) - 1
+
+
+@pytest.mark.parametrize("length", [7, 2048])
+def test_pack(spark, tokenizer, length):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").repartition(5)
+    rows = packing.tokenized(docs, queries.WORDS)
+    assert rows.select("part").distinct().count() == 5
+    check(packing.pack(rows, length=length).collect(), [(r.doc_id, r.text) for r in docs.collect()], length, tokenizer)
+
+
+def test_query(spark, tokenizer):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    for r in queries.op7_packing(spark, DATA).collect():
+        ids = ids_of(tokenizer, texts[r.doc_id])[r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def test_hard_cases(hard, empty, tokenizer):
+    rows = packing.tokenized(hard, queries.WORDS)
+    check(packing.pack(rows, length=64).collect(), [(r.doc_id, r.text) for r in hard.collect()], 64, tokenizer)
+    assert packing.pack(packing.tokenized(empty, queries.WORDS)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["İstanbul ΣΑΣ é é ́x", "a\x1cb a\x85b a b 　", "<|endoftext|> x<|startoftext|>",
+                                  "it's we'll 'S 12 ½²", "日本語 👍🏽‍👩 \n\n\t tail ", " ", "A\nB\r\nC"])
+def test_words_are_tokenized_as_the_whole(tokenizer, text):
+    got = packing.WordTokenizer(open(queries.WORDS, encoding="utf-8").read())(text)
+    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids_of(tokenizer, text)[:-1]
