@@ -24,7 +24,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_statement(spark, db, name):
     mine = _normal(contract.queries()[name](spark, DATA).toPandas())
     want = _normal(db.execute(contract.oracle_sql()[name]).df())
