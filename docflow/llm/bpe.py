@@ -28,9 +28,9 @@ from docflow.llm.common import Memo, map_rows
 
 #: Pre-tokens of most public byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO = 500_000       # pieces of text whose ids a worker remembers
-RECENT = 300_000     # byte strings whose ranks a worker remembers
-LONGEST = 64         # characters of a piece that is worth remembering
+MEMO = 250_000       # words whose ids a worker remembers
+RECENT = 150_000     # byte strings whose ranks a worker remembers
+LONGEST = 64         # characters of a word that is worth remembering
 MOST_IDS = 1_000_000  # ids of a vocabulary that may be broadcast
 
 _MASK = (1 << 64) - 1
@@ -98,7 +98,7 @@ class Vocabulary:
         self.longest = max(map(len, self.keys), default=0)
         self.by_id = {i: k for k, i in ranks.items()}
         self.byte_ids = [ranks.get(bytes([b]), -1) for b in range(256)]
-        self.recent = Memo(self._find, RECENT, self.longest)
+        self.recent = Memo(self._find, RECENT, lambda key: True)  # none is longer than a token
 
     def rank(self, key: bytes) -> int:
         """The id of a byte string, or -1."""
@@ -115,7 +115,7 @@ class Vocabulary:
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
-        self.recent = Memo(self._find, RECENT, self.longest)
+        self.recent = Memo(self._find, RECENT, lambda key: True)  # none is longer than a token
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a token that isn't in the vocabulary: lowest rank first, then leftmost."""
@@ -176,8 +176,8 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, pattern: str = PATTERN, most: int = MEMO) -> None:
         self.vocab, self.pattern = vocab, regex.compile(pattern)
         self.can_cut = pattern == PATTERN
-        self.tokens = Memo(self._token, most, LONGEST)
-        self.after_space = Memo(self._behind_space, most, LONGEST)
+        self.tokens = Memo(self._token, most // 5, lambda token: len(token) <= LONGEST)
+        self.after_space = Memo(self._behind_space, most, lambda piece: len(piece) <= LONGEST and piece.isalpha())
 
     def _token(self, token: str) -> bytes:
         return packed(self.vocab.encode(token.encode()))
@@ -185,8 +185,11 @@ class Encoder:
     def _behind_space(self, piece: str) -> bytes:
         if piece.isalpha():
             return self._token(" " + piece)
+        head = piece.rstrip(".,;:!?")
+        if head.isalpha():  # what follows it is one pre-token
+            return self.after_space[head] + self.tokens[piece[len(head) :]]
         first, *others = self.pattern.findall(" " + piece)
-        if first[1:].isalpha():  # as it stands elsewhere without what follows it here
+        if first[1:].isalpha():
             return self.after_space[first[1:]] + b"".join(map(self.tokens.__getitem__, others))
         return b"".join(map(self.tokens.__getitem__, [first, *others]))
 
@@ -229,6 +232,7 @@ def decode(df: DataFrame, path: str, keys: list[str], ids: str = ENCODED) -> Dat
     schema = StructType([*(df.schema[k] for k in keys), StructField(DECODED, BinaryType())])
 
     def make():
+        _encoders.clear()  # a worker remembers words only while it encodes
         by_id = vocab.value.by_id.__getitem__
 
         def one(row: tuple) -> tuple:

@@ -75,22 +75,23 @@ def as_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class Memo(dict):
-    """Results of a function of recent keys; two generations and a longest key bound what it holds."""
+    """Results of a function of recent keys. It holds those of keys that are `worth` it, in two
+    generations of at most `most`."""
 
-    def __init__(self, function: Callable[[Any], Any], most: int, longest: int) -> None:
+    def __init__(self, function: Callable[[Any], Any], most: int, worth: Callable[[Any], bool]) -> None:
         super().__init__()
-        self.function, self.most, self.longest, self.old = function, most, longest, {}
+        self.function, self.most, self.worth, self.old = function, most, worth, {}
 
     def __missing__(self, key: Any) -> Any:
         value = self.old.get(key)
         if value is None:
             value = self.function(key)
-        self.keep(key, value)
+            if not self.worth(key):
+                return value
+        self.put(key, value)
         return value
 
-    def keep(self, key: Any, value: Any) -> None:
-        if len(key) > self.longest:
-            return
+    def put(self, key: Any, value: Any) -> None:
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import struct
 
+import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ LENGTH = 2048
 END = 1               # id behind each document
 MEMO = 400_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
+MARKS = ".,;:!?"      # ASCII marks that neither change a letter before them nor join it in a token
+WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
 MOST_BYTES = 64 << 20  # of a tokenizer file, which is broadcast
 
 
@@ -37,14 +40,43 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = Memo(self._ids, MEMO, LONGEST)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.words = Memo(self._ids, MEMO, lambda word: len(word) <= LONGEST and word.isalpha())
+        self.marks = Memo(self._encode, MEMO // 8, lambda mark: len(mark) <= LONGEST)
+
+    def _encode(self, word: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _ids(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if word.isalpha():
+            return self._encode(word)
+        head = word.rstrip(MARKS)
+        if head.isalpha():  # letters and marks are never one token; no mark of these changes a letter
+            return self.words[head] + self.marks[word[len(head) :]]
+        return self._encode(word)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Asks for all new words of letters at once: each ends with a token that ends a word."""
+        heads = [h for h in {p.rstrip(MARKS) for p in pieces}
+                 if h.isalpha() and len(h) <= LONGEST and h not in self.words and h not in self.words.old]
+        if len(heads) < 2:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(heads)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stops) != len(heads):  # a letter that lower-casing takes apart; those are asked one by one
+            return
+        data, start = ids.tobytes(), 0
+        for head, stop in zip(heads, stops.tolist(), strict=True):
+            self.words.put(head, data[start:stop])
+            start = stop
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split(" ")))
+        pieces = text.replace("\n", " ").split(" ")
+        self._learn(set(pieces).difference(self.words))
+        return b"".join(map(self.words.__getitem__, pieces))
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
