@@ -12,6 +12,7 @@ names can't clash. Words of any length are merged in n log n steps.
 from __future__ import annotations
 
 import base64
+import string
 import struct
 from array import array
 from functools import lru_cache
@@ -30,6 +31,7 @@ from docflow.llm.common import Memo, map_rows
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMO = 250_000       # words whose ids a worker remembers
 RECENT = 150_000     # byte strings whose ranks a worker remembers
+MARKS = string.punctuation.replace("'", "")  # behind a word, a run of these is one pre-token
 LONGEST = 64         # characters of a word that is worth remembering
 MOST_IDS = 1_000_000  # ids of a vocabulary that may be broadcast
 
@@ -185,7 +187,7 @@ class Encoder:
     def _behind_space(self, piece: str) -> bytes:
         if piece.isalpha():
             return self._token(" " + piece)
-        head = piece.rstrip(".,;:!?")
+        head = piece.rstrip(MARKS)
         if head.isalpha():  # what follows it is one pre-token
             return self.after_space[head] + self.tokens[piece[len(head) :]]
         first, *others = self.pattern.findall(" " + piece)

@@ -12,6 +12,7 @@ each for itself; an empty table gives no pieces; other columns are left out.
 from __future__ import annotations
 
 import os
+import string
 import struct
 
 import numpy as np
@@ -28,7 +29,7 @@ LENGTH = 2048
 END = 1               # id behind each document
 MEMO = 400_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
-MARKS = ".,;:!?"      # ASCII marks that neither change a letter before them nor join it in a token
+MARKS = string.punctuation.replace("'", "")  # neither changes a letter before it nor joins it in a token
 WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
 MOST_BYTES = 64 << 20  # of a tokenizer file, which is broadcast
 
@@ -75,7 +76,8 @@ class WordTokenizer:
 
     def __call__(self, text: str) -> bytes:
         pieces = text.replace("\n", " ").split(" ")
-        self._learn(set(pieces).difference(self.words))
+        known = self.words
+        self._learn({p for p in set(pieces) if p not in known})
         return b"".join(map(self.words.__getitem__, pieces))
 
 
