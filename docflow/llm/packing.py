@@ -27,7 +27,7 @@ from docflow.reliable import new_folder
 
 LENGTH = 2048
 END = 1               # id behind each document
-MEMO = 400_000        # words whose ids a worker remembers
+MEMO = 600_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
 MARKS = string.punctuation.replace("'", "")  # neither changes a letter before it nor joins it in a token
 WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
@@ -44,7 +44,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.words = Memo(self._ids, MEMO, lambda word: len(word) <= LONGEST and word.isalpha())
+        self.words = Memo(self._ids, MEMO, lambda word: len(word) <= LONGEST)
         self.marks = Memo(self._encode, MEMO // 8, lambda mark: len(mark) <= LONGEST)
 
     def _encode(self, word: str) -> bytes:
