@@ -29,7 +29,7 @@ from docflow.llm.common import Memo, map_rows
 
 #: Pre-tokens of most public byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO = 250_000       # words whose ids a worker remembers
+MEMO = 320_000       # words whose ids a worker remembers
 RECENT = 150_000     # byte strings whose ranks a worker remembers
 MARKS = string.punctuation.replace("'", "")  # behind a word, a run of these is one pre-token
 LONGEST = 64         # characters of a word that is worth remembering
