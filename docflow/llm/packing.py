@@ -27,7 +27,7 @@ from docflow.reliable import new_folder
 
 LENGTH = 2048
 END = 1               # id behind each document
-MEMO = 600_000        # words whose ids a worker remembers
+MEMO = 900_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
 MARKS = string.punctuation.replace("'", "")  # neither changes a letter before it nor joins it in a token
 WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
@@ -121,7 +121,7 @@ def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                          StructField("part", IntegerType()), StructField("before", LongType())])
     rows = map_rows(df.select(key, F.col(text)), make, schema, lambda row: len(row[1]) + 64)
     folder = new_folder(df.sparkSession, "tokenized")
-    rows.write.option("compression", "zstd").parquet(folder)
+    rows.write.parquet(folder)
     return df.sparkSession.read.schema(schema).parquet(folder)
 
 
