@@ -27,7 +27,7 @@ from docflow.reliable import new_folder
 
 LENGTH = 2048
 END = 1               # id behind each document
-MEMO = 900_000        # words whose ids a worker remembers
+MEMO = 750_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
 MARKS = string.punctuation.replace("'", "")  # neither changes a letter before it nor joins it in a token
 WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
