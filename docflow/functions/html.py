@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,8 @@ _MARKUP = (
 )
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
-_BY_NAME = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# Names with their semicolon; some mean two characters.
+_BY_NAME = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 # Numeric references to the C1 range mean Windows-1252 characters.
 _BY_C1_CODE = {
     str(code): bytes([code]).decode("cp1252")

@@ -44,15 +44,16 @@ def rate_windows(events: DataFrame, width: str = "1 minute", watermark: str | No
 def fill_windows(windows: DataFrame, width_seconds: int = 60) -> DataFrame:
     """Adds the missing windows between the first and the last one, with zero files.
 
-    The gaps are filled hour by hour, so no single array spans the whole log.
+    The gaps are filled in stretches of about an hour, each a multiple of the width counted from
+    the first window, so no single array spans the whole log and every width keeps its grid.
     """
-    step = F.make_dt_interval(secs=F.lit(width_seconds))
-    span = windows.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
-    hours = span.select(
-        "lo", "hi", F.explode(F.expr("sequence(lo, hi, interval 1 hour)")).alias("hour")
-    ).repartition("hour")
-    last = F.least("hi", F.col("hour") + F.expr("interval 1 hour") - step)
-    spine = hours.select(F.explode(F.sequence("hour", last, step)).alias("window_start"))
+    stretch = width_seconds * max(1, 3600 // width_seconds)
+    seconds = F.unix_seconds("window_start")
+    span = windows.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi")).filter("lo IS NOT NULL")
+    starts = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(stretch).cast("bigint"))).alias("at"))
+    last = F.least(F.col("hi"), F.col("at") + stretch - width_seconds)
+    grid = F.sequence("at", last, F.lit(width_seconds).cast("bigint"))
+    spine = starts.repartition("at").select(F.explode(F.transform(grid, F.timestamp_seconds)).alias("window_start"))
     return spine.join(windows, "window_start", "left").fillna(0, ["files"]).withColumn(
         "files_per_second", F.col("files") / F.lit(float(width_seconds))
     )

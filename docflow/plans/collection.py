@@ -109,13 +109,15 @@ def run_collection(
 def store_run(
     run: Run, bodies: DataFrame, store: ManifestStore, documents_path: str, events_path: str
 ) -> None:
-    """Writes what a run left: bodies, then the manifest entries that name them, then events.
+    """Writes what a run left: bodies, events, and last the manifest entries, which commit it.
 
-    Storing a run again after a failure replaces its bodies and events and leaves a committed
-    manifest alone. The run must have been made from `store.read()`.
+    A run that failed on the way is made again from `store.read()` and replaces its bodies and
+    events. One that is committed is left alone, for made again it would find nothing new.
     """
+    if store.has_run(run.run_id):
+        return
     stored_bodies.write_documents(
         stored_bodies.select_stored(bodies, run.outcomes), documents_path, run.run_id
     )
-    store.append(run.new_entries, run.run_id)
     write_events(run.events, events_path)
+    store.append(run.new_entries, run.run_id)

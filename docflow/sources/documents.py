@@ -10,9 +10,6 @@ from docflow.functions.urls import document_filename
 from docflow.operators.skew import latest_by
 from docflow.schemas import DOCUMENTS
 
-# Size bound of the list of URLs not to store, up to which it is broadcast.
-BROADCAST_URLS = 100_000
-
 
 def stored_files(spark: SparkSession, folder: str) -> DataFrame:
     """Name and length of the files in a folder; their content is not read."""
@@ -38,20 +35,10 @@ def read_folder(spark: SparkSession, folder: str, max_length: int) -> DataFrame:
 def select_stored(
     bodies: DataFrame, outcomes: DataFrame, keys: tuple[str, ...] = ("url",)
 ) -> DataFrame:
-    """Bodies of URLs with success, with file name and checksum.
-
-    Nearly all fetched bodies are stored, so the few that are not make the smaller list.
-    Where that list is short it is broadcast and content stays where it was read; else
-    bodies are joined by key.
-    """
+    """Bodies of URLs with success, with file name and checksum; a body without a URL has none."""
     keys = list(keys)
     stored = outcomes.filter(F.col("status") == "success").select(*keys)
-    refused = bodies.select(*keys).join(stored, keys, "left_anti").distinct()
-    if refused.limit(BROADCAST_URLS + 1).count() <= BROADCAST_URLS:
-        kept = bodies.join(F.broadcast(refused), keys, "left_anti")
-    else:
-        kept = bodies.join(stored, keys, "left_semi")
-    return kept.select(
+    return bodies.join(stored, keys, "left_semi").select(
         document_filename(F.col("url")).alias("filename"),
         "url",
         content_checksum(F.col("content")).alias("checksum"),
@@ -64,15 +51,17 @@ def write_documents(documents: DataFrame, path: str, run_id: str) -> None:
     documents.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
 
 
-def latest_documents(spark: SparkSession, path: str) -> DataFrame:
+def latest_documents(spark: SparkSession, path: str, runs: DataFrame | None = None) -> DataFrame:
     """Where the current body of each file name is: (filename, url, checksum, run_id).
 
-    Of several URLs with one file name in a run the last one counts. Content is not read.
+    `runs` (run_id, seq: `ManifestStore.runs`) gives the order of runs and hides those that were
+    never committed; without it runs follow each other by the text of their ids. Of several URLs
+    with one file name in a run the last one counts. Content is not read.
     """
-    rows = spark.read.schema(DOCUMENTS).parquet(path)
-    return latest_by(
-        rows.select("filename", "url", "checksum", "run_id"), ["filename"], ["run_id", "url"]
-    )
+    rows = spark.read.schema(DOCUMENTS).parquet(path).select("filename", "url", "checksum", "run_id")
+    if runs is None:
+        return latest_by(rows, ["filename"], ["run_id", "url"])
+    return latest_by(rows.join(runs, "run_id"), ["filename"], ["seq", "url"]).drop("seq")
 
 
 def document_contents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:

@@ -41,8 +41,10 @@ def read_events(spark: SparkSession, path: str, format: str = "parquet") -> Data
 
 
 def read_event_array(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Events from a JSON array file of either older form."""
-    rows, _ = read_array(spark, path, schemas.LOG_ENTRY)
+    """Events from a JSON array file of either older form; an entry that can't be read raises."""
+    rows, verdict = read_array(spark, path, schemas.LOG_ENTRY)
+    if verdict.first()["is_corrupt"]:
+        raise ValueError(f"corrupt event log: {path}")
     return rows.select(
         F.lit(run_id).alias("run_id"),
         epoch_timestamp(F.col("timestamp")).alias("timestamp"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -42,11 +42,17 @@ def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
         "value.size",
         "value.checksum",
         "value.last_modified",
-        F.col("value.downloaded_at").try_cast("timestamp").alias("downloaded_at"),
+        _utc(F.col("value.downloaded_at")).alias("downloaded_at"),
         "value.local_path",
     )
 
 
+def _utc(text: Column) -> Column:
+    """Time of a text that means UTC unless it names a zone, whatever the session's zone is."""
+    named = F.when(text.rlike(r"(Z|[+-]\d\d:\d\d)$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.coalesce(named.try_cast("timestamp"), text.try_cast("timestamp"))
+
+
 class ManifestStore:
     """Manifest kept under one folder as a log of runs.
 
@@ -77,6 +83,16 @@ class ManifestStore:
         current = sorted((r for r in found if r.current), key=lambda r: r.seq)
         return current, any(r.run_id == run_id for r in found)
 
+    def runs(self) -> DataFrame:
+        """(run_id, seq) of all committed runs; a row for each run."""
+        try:
+            rows = self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], "run_id string, seq bigint")
+        return rows.filter("kind = 'delta'").select("run_id", "seq")
+
     def has_run(self, run_id: str) -> bool:
         return self.commits(run_id)[1]
 

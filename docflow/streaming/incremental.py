@@ -78,14 +78,17 @@ def incremental_stream(
 ) -> StreamingQuery:
     """Runs every micro-batch against the manifest and appends what it stored.
 
-    `foreachBatch` delivers at least once; the batch id names the run, and a run already in
-    the manifest's commits is skipped, so each batch counts once.
+    `foreachBatch` delivers at least once; the checkpoint's query id and the batch id name the
+    run, and a run already in the manifest's commits is skipped, so each batch counts once. A
+    stream with a new checkpoint has another query id, and its batches are runs of their own.
     """
-    store = ManifestStore(observations.sparkSession, store_path)
+    spark = observations.sparkSession
+    store = ManifestStore(spark, store_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        query_id = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         process_batch(
-            batch, store, f"{run_prefix}-{batch_id}", cap, documents_path=documents_path
+            batch, store, f"{run_prefix}-{query_id}-{batch_id}", cap, documents_path=documents_path
         )
 
     return (

@@ -68,3 +68,9 @@ def test_title_and_text(spark):
     df = spark.createDataFrame([(r[0],) for r in rows], "html string")
     got = H.with_title_and_text(df).collect()
     assert [(r.title, r.text) for r in got] == [r[1:] for r in rows]
+
+
+def test_names_of_html5(spark):
+    df = spark.createDataFrame([("a&period;pdf &NotEqualTilde; &nosuchname; &amp;",)], "t string")
+    got = df.select(H.decode_entities(F.col("t"))).first()[0]
+    assert got == "a.pdf ≂̸ &nosuchname; &"

@@ -121,3 +121,14 @@ def test_latest_by_takes_one_whole_row(spark):
     rows = spark.createDataFrame([("a", 1, None), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, "x")],
                                  "k string, n int, v string")
     assert sorted(map(tuple, skew.latest_by(rows, ["k"], ["n"]).collect())) == [("a", 3, "z"), ("b", 1, "x")]
+
+
+@pytest.mark.parametrize("minutes", [1, 7, 60, 90, 120])
+def test_filled_windows_of_any_width(spark, minutes):
+    times = [datetime(2025, 1, 1, 0, 5) + timedelta(minutes=m) for m in (0, 3, 200, 201, 777, 1500)]
+    events = spark.createDataFrame([(t, "download_success") for t in times], "timestamp timestamp, event_type string")
+    rows = monitor.fill_windows(monitor.rate_windows(events, f"{minutes} minutes"), minutes * 60).collect()
+    starts = sorted(r["window_start"] for r in rows)
+    assert sum(r["files"] for r in rows) == len(times)
+    assert {b - a for a, b in zip(starts, starts[1:])} <= {timedelta(minutes=minutes)}
+    assert len(starts) == len(set(starts))

@@ -250,7 +250,7 @@ def test_upsert_and_diff_are_stable(spark):
 def test_pdf_check(spark):
     cases = {
         b"%PDF-1.4\ntest content\n%%EOF": True, b"not a pdf": False, b"%PDF-1.4\n": False,
-        b"%PDF-1.4\n%%EOF" + b"x" * 1019: True, b"%PDF-1.4\n%%EOF" + b"x" * 1020: False, b"": False,
+        b"%PDF-1.4\n%%EOF" + b"x" * 1019: True, b"%PDF-1.4\n%%EOF" + b"x" * 5000: True, b"\n\n%PDF-1.4\n%%EOF": True, b" " * 1024 + b"%PDF-1.4\n%%EOF": False, b"": False,
         b"%PDF-" + b"\xff\xfe" * 5000 + b"%%EOF\r\n": True,
     }
     df = spark.createDataFrame([(k,) for k in cases], "content binary")
@@ -273,3 +273,27 @@ def test_small_expressions(spark):
         "standard", "standard", "infrequent", "infrequent", "archive"]
     ts = spark.range(1).select(content.epoch_timestamp(F.lit(1735689600.123456))).first()[0]
     assert ts == datetime(2025, 1, 1, 0, 0, 0, 123456)
+
+
+def test_a_committed_run_stored_again_keeps_its_bodies(spark, tmp_path):
+    store = ManifestStore(spark, str(tmp_path / "manifest"))
+    docs, log = str(tmp_path / "docs"), str(tmp_path / "events")
+    site = _site(spark, "SPEC-1.pdf")
+    body = b"%PDF-1.4\nkept\n%%EOF"
+    tables = _tables(spark, [(D1, body)])
+    for _ in range(2):
+        store_run(_run(spark, site, tables, store.read()), tables[2], store, docs, log)
+    latest = documents.latest_documents(spark, docs, store.runs())
+    assert [bytes(r["content"]) for r in documents.document_contents(spark, docs, latest).collect()] == [body]
+    assert "download_success" in {r["event_type"] for r in read_events(spark, log).collect()}
+
+
+def test_the_latest_body_is_that_of_the_last_committed_run(spark, tmp_path):
+    store, docs = ManifestStore(spark, str(tmp_path / "manifest")), str(tmp_path / "docs")
+    for n in (2, 9, 10, 11):
+        rows = spark.createDataFrame([("a.pdf", "https://a/a.pdf", str(n), b"x")],
+                                     "filename string, url string, checksum string, content binary")
+        documents.write_documents(rows, docs, f"batch-{n}")
+        if n < 11:  # the last one is never committed
+            store.append(empty_manifest(spark), f"batch-{n}")
+    assert documents.latest_documents(spark, docs, store.runs()).first()["run_id"] == "batch-10"

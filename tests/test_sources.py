@@ -117,9 +117,7 @@ def test_documents(spark, tmp_path):
         small._jdf.queryExecution().executedPlan().toString())
 
 
-@pytest.mark.parametrize("bound", [100_000, 0])
-def test_document_store(spark, tmp_path, monkeypatch, bound):
-    monkeypatch.setattr(documents, "BROADCAST_URLS", bound)
+def test_document_store(spark, tmp_path):
     path = str(tmp_path / "store")
     ok = lambda *u: spark.createDataFrame([(x, "success") for x in u], "url string, status string")
     bodies = lambda *rows: spark.createDataFrame(list(rows), schemas.BODIES)
@@ -195,3 +193,9 @@ def test_shared_folder(spark):
 def test_event_schema_of_derived_events(spark):
     rows = spark.createDataFrame([("crawl_error", "u")], "event_type string, url string")
     assert outcome.as_events(rows, "r", F.current_timestamp()).schema.names == schemas.EVENTS.names
+
+
+def test_a_body_without_url_is_not_stored(spark):
+    bodies = spark.createDataFrame([(None, b"1"), ("https://a/x.pdf", b"2")], "url string, content binary")
+    outcomes = spark.createDataFrame([(None, "success"), ("https://a/x.pdf", "success")], "url string, status string")
+    assert [r.url for r in documents.select_stored(bodies, outcomes).collect()] == ["https://a/x.pdf"]
