@@ -169,14 +169,14 @@ def with_components(prints: DataFrame, key: str, distance: int = 2, crowd: int =
     return prints.join(by_print, "fingerprint").select(key, "fingerprint", "component_id")
 
 
-def representatives(prints: DataFrame, key: str, row: str, distance: int = 2) -> DataFrame:
+def representatives(prints: DataFrame, groups: DataFrame, key: str, row: str) -> DataFrame:
     """`row` of one row of each group: that with the smallest `key`, of those the smallest `row`.
 
-    `prints` has `key`, `row` (told apart by what the fingerprint comes from) and `fingerprint`.
+    `prints` has `key`, `row` (told apart by what the fingerprint comes from) and `fingerprint`;
+    `groups` has the `component` of fingerprints that are linked with others.
     """
     order = F.struct(F.col(key).isNull(), F.col(key), F.col(row))
     best = saved(prints.groupBy("fingerprint").agg(F.min(order).alias("best")), "best-of-prints")
-    groups = saved(grouped(prints, distance), "groups")
-    joined = best.join(groups, "fingerprint", "left")
+    joined = best.join(saved(groups, "groups"), "fingerprint", "left")
     one = joined.groupBy(F.coalesce("component", "fingerprint").alias("group")).agg(F.min("best").alias("best"))
     return one.select(F.col(f"best.{row}").alias(row))

@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from docflow.llm import queries, rules, stages, toxicity
 from docflow.reliable import saved
 from test_secrets import base_spans, more_spans
-from test_simhash import brute_components, brute_print
+from test_similar import brute_groups, brute_signature, jaccard, shingles
 
 DATA = "/root/testdata/sf0.001"
 
@@ -31,8 +33,10 @@ def test_stages_against_brute_force(spark, results):
     assert ids(ruled) == sorted(kept) and len(kept) < len(docs)
     chain = toxicity.fit(results[1], spark.read.parquet(f"{DATA}/labels.parquet"))
     assert ids(clean) == ids(toxicity.judged(results[1], chain, ["doc_id"]).filter("NOT toxic").collect())
-    groups = brute_components([(r.doc_id, brute_print(r.text)) for r in clean], 2)
-    assert ids(single) == sorted({component for _, _, component in groups})
+    groups = brute_groups([(r.doc_id, brute_signature(r.text)) for r in clean])
+    assert ids(single) == sorted(set(groups.values()))
+    left = [shingles(r.text) for r in single]
+    assert not any(jaccard(a, b) >= 0.85 for a, b in combinations(left, 2))
     before = {r.doc_id: r.text for r in single}
     assert ids(safe) == sorted(before)
     for r in safe:
