@@ -35,8 +35,20 @@ def candidates(documents: DataFrame, only: DataFrame | None = None) -> DataFrame
     return chosen.withColumn("filename", urls.document_filename(F.col("url")))
 
 
-def tracked_state(manifest: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row per known file name: its manifest entry and whether the file is on disk."""
+def one_head_per_url(heads: DataFrame) -> DataFrame:
+    """Of repeated observations of a URL one without error, of those the greatest length and date."""
+    order = F.struct(F.col("head_error").isNull(), "content_length", "last_modified", "head_error")
+    return heads.groupBy("url").agg(F.max(order).alias("_")).select(
+        "url", "_.content_length", "_.last_modified", "_.head_error"
+    )
+
+
+def tracked_state(names: DataFrame, manifest: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row per file name of `names`: its manifest entry and whether the file is on disk.
+
+    All three are laid out by file name once. What the manifest and the store know of other
+    names goes no further than that.
+    """
     entries = manifest.select(
         "filename",
         F.lit(True).alias("tracked"),
@@ -45,7 +57,34 @@ def tracked_state(manifest: DataFrame, stored: DataFrame) -> DataFrame:
         F.col("last_modified").alias("known_modified"),
     )
     files = stored.select("filename").distinct().withColumn("on_disk", F.lit(True))
-    return entries.join(files, "filename", "full")
+    return (
+        names.select("filename").distinct()
+        .join(entries, "filename", "left")
+        .join(files, "filename", "left")
+    )
+
+
+def observed(chosen: DataFrame, heads: DataFrame) -> DataFrame:
+    """Candidates with their headers; without any, `head_error` says so."""
+    return chosen.join(one_head_per_url(heads), "url", "left").withColumn(
+        "head_error",
+        F.when(F.col("content_length").isNull(), F.coalesce("head_error", F.lit("not observed")))
+        .otherwise(F.col("head_error")),
+    )
+
+
+def full_decision(chosen: DataFrame, heads: DataFrame) -> DataFrame:
+    """Every candidate is fetched, as in a run without memory; neither manifest nor files are read."""
+    failed = F.col("head_error").isNotNull()
+    return observed(chosen, heads).select(
+        "url",
+        "filename",
+        "content_length",
+        "last_modified",
+        "head_error",
+        F.when(failed, "error").otherwise("fetch").alias("decision"),
+        F.when(failed, "head_error").otherwise("full_run").alias("reason"),
+    )
 
 
 def change_decision(
@@ -57,19 +96,14 @@ def change_decision(
 ) -> DataFrame:
     """Decision and reason per candidate URL; the first rule that holds decides.
 
-    `heads` are parsed observations, one per URL. A URL whose headers could not be observed
+    `heads` are parsed observations; repeated ones count once. A URL whose headers could not be observed
     is an error before any rule applies. The size rule compares the manifest's body length
     with the announced length, the date rule compares text and holds only where the header
     is present and not empty.
     """
-    observed = chosen.join(heads, "url", "left").withColumn(
-        "head_error",
-        F.when(F.col("content_length").isNull(), F.coalesce("head_error", F.lit("not observed")))
-        .otherwise(F.col("head_error")),
-    )
     joined = skew.lookup_join(
-        observed, tracked_state(manifest, stored), ["filename"], ["url"], "left", hot_rows,
-        count_in=chosen,
+        observed(chosen, heads), tracked_state(chosen, manifest, stored), ["filename"], ["url"],
+        "left", hot_rows, count_in=chosen,
     )
     differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
     reason = (

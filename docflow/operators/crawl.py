@@ -191,9 +191,17 @@ def page_profile(pages: DataFrame) -> DataFrame:
 def crawl_outcomes(visited: DataFrame, pages: DataFrame) -> DataFrame:
     """Visited pages with the error of their fetch, null where it succeeded.
 
-    A page that links lead to but that nobody observed counts as failed.
+    A page that links lead to but that nobody observed counts as failed. Of several observations
+    of a page one that succeeded counts, else the first error as text.
     """
-    observed = pages.select("url", F.lit(True).alias("_observed"), fetch_error().alias("error"))
+    observed = (
+        pages.select("url", fetch_error().alias("_error"))
+        .groupBy("url")
+        .agg(
+            F.lit(True).alias("_observed"),
+            F.when(F.count_if(F.col("_error").isNull()) == 0, F.min("_error")).alias("error"),
+        )
+    )
     error = F.coalesce("error", F.when(F.col("_observed").isNull(), "not observed"))
     return visited.join(observed, "url", "left").select("url", "depth", error.alias("error"))
 

@@ -70,6 +70,14 @@ def inspect_bodies(bodies: DataFrame, validator: Column | None = None) -> DataFr
     )
 
 
+def one_body_per_url(inspected: DataFrame) -> DataFrame:
+    """Of several bodies of a URL a valid one, of those the longest, then by checksum."""
+    order = F.struct("is_valid", "body_size", "checksum")
+    return inspected.groupBy("url").agg(F.max(order).alias("_")).select(
+        "url", "_.body_size", "_.checksum", "_.is_valid"
+    )
+
+
 def outcome_status(
     decided: DataFrame,
     attempts: DataFrame,
@@ -81,7 +89,7 @@ def outcome_status(
     """Status per URL.
 
     `decided` comes from `change_decision`, `attempts` from `fold_attempts` (by url),
-    `inspected` from `inspect_bodies`. Mode "full" ignores the skip decision. A body without
+    `inspected` from `inspect_bodies`, of which each URL counts once. Mode "full" ignores the skip decision. A body without
     attempt rows counts as fetched at once; neither body nor attempt is an error.
 
     URLs that share a file name are handled in URL order, each against the state the earlier
@@ -91,7 +99,7 @@ def outcome_status(
     """
     joined = (
         decided.join(attempts, "url", "left")
-        .join(inspected, "url", "left")
+        .join(one_body_per_url(inspected), "url", "left")
         .withColumn("fetched", F.coalesce("ok", F.col("body_size").isNotNull()))
     )
     too_large = content.over_size_cap(F.col("content_length"), cap)
@@ -242,7 +250,7 @@ def events_from_attempts(
         (F.lit(None).cast("string") if full else F.col("url")).alias("url"),
         F.col("filename").alias("file"),
         "error",
-        (F.col("attempt_no") - 1 if full else F.lit(None)).alias("retry_count"),
+        (F.lit(0) if full else F.lit(None)).alias("retry_count"),
         F.coalesce(F.col("attempted_at"), at).alias("timestamp"),
     )
     return as_events(rows, run_id, at)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions import content
 from docflow.operators import skew
+from docflow.reliable import saved
 
 # Which events count as stored and as failed.
 SUCCESS_EVENTS = ("download_success", "upload_ok")
@@ -195,7 +196,11 @@ def duplicate_content(documents: DataFrame) -> DataFrame:
 
 
 def duplicate_files(documents: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
-    """Every file whose content another file has too, and whether it is the one to keep."""
+    """Every file whose content another file has too, and whether it is the one to keep.
+
+    The checksums are written once, so each body is read and hashed once.
+    """
+    documents = saved(documents.select("checksum", "filename", "size"), "checksums")
     found = skew.lookup_join(
         documents, duplicate_content(documents), ["checksum"], ["filename"], "inner", hot_rows
     )

@@ -556,10 +556,17 @@ def pdf_check(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir, mode: str = "incremental") -> DataFrame:
+    if mode == "full":
+        decided = change.full_decision(
+            change.candidates(derived.all_hosts(spark, sf_dir)),
+            change.head_observations(derived.heads(spark, sf_dir)),
+        )
+    else:
+        decided = _decided(spark, sf_dir)
     return outcome.outcome_status(
-        _decided(spark, sf_dir),
+        decided,
         outcome.fold_attempts(derived.attempts(spark, sf_dir)),
-        outcome.inspect_bodies(derived.bodies(spark, sf_dir)),
+        saved(outcome.inspect_bodies(derived.bodies(spark, sf_dir)), "inspected"),
         SMALL_CAP,
         mode,
     )

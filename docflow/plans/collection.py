@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ def run_discovery(
     documents = saved(found.documents, "documents")
     events = outcome.events_from_crawl(
         crawl.crawl_outcomes(found.visited, pages), documents, run_id,
-        F.current_timestamp() if at is None else at,
+        F.lit(datetime.now(timezone.utc)) if at is None else at,
     )
     return documents.orderBy("url"), events
 
@@ -64,19 +65,23 @@ def run_collection(
 
     `heads` are raw observations, `attempts` rows per attempt, `bodies` what was fetched.
     Mode "full" fetches everything and uses the older event names. Outcomes are written once
-    and feed all further tables.
+    and feed all further tables, and so is what was found in bodies: content is read once. The
+    time `at` is that of the call, alike in all tables.
     """
-    at = F.current_timestamp() if at is None else at
+    at = F.lit(datetime.now(timezone.utc)) if at is None else at
     found = crawl.discover(pages, root)
     documents = saved(found.documents, "documents")
-    decided = change.change_decision(
-        change.candidates(documents, only), manifest, stored, change.head_observations(heads)
-    )
+    chosen, observed = change.candidates(documents, only), change.head_observations(heads)
+    if mode == "full":
+        decided = change.full_decision(chosen, observed)
+    else:
+        decided = change.change_decision(chosen, manifest, stored, observed)
+    inspected = saved(outcome.inspect_bodies(bodies, validator), "inspected")
     outcomes = saved(
         outcome.outcome_status(
             decided,
             outcome.fold_attempts(attempts),
-            outcome.inspect_bodies(bodies, validator),
+            inspected,
             cap,
             mode,
         ),
@@ -117,7 +122,7 @@ def store_run(
     if store.has_run(run.run_id):
         return
     stored_bodies.write_documents(
-        stored_bodies.select_stored(bodies, run.outcomes), documents_path, run.run_id
+        stored_bodies.select_stored(bodies, run.outcomes, ("url", "checksum")), documents_path, run.run_id
     )
     write_events(run.events, events_path)
     store.append(run.new_entries, run.run_id)

@@ -35,8 +35,13 @@ def read_folder(spark: SparkSession, folder: str, max_length: int) -> DataFrame:
 def select_stored(
     bodies: DataFrame, outcomes: DataFrame, keys: tuple[str, ...] = ("url",)
 ) -> DataFrame:
-    """Bodies of URLs with success, with file name and checksum; a body without a URL has none."""
+    """Bodies of URLs with success, with file name and checksum; a body without a URL has none.
+
+    Where a URL has several bodies, the key `checksum` picks the one that the outcome is of.
+    """
     keys = list(keys)
+    if "checksum" in keys:
+        bodies = bodies.withColumn("checksum", content_checksum(F.col("content")))
     stored = outcomes.filter(F.col("status") == "success").select(*keys)
     return bodies.join(stored, keys, "left_semi").select(
         document_filename(F.col("url")).alias("filename"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +14,7 @@ from docflow.operators.skew import latest_by
 from docflow.reliable import saved
 from docflow.schemas import FOLDED_ATTEMPTS
 from docflow.sources import documents
+from docflow.sources.events import write_events
 from docflow.sources.manifests import ManifestStore
 
 
@@ -29,10 +32,12 @@ def process_batch(
     cap: int = content.SIZE_CAP,
     compact_every: int = 50,
     documents_path: str | None = None,
+    events_path: str | None = None,
 ) -> None:
     """One run over a micro-batch. Repeating a committed run changes nothing.
 
-    With `documents_path`, bodies are stored before the manifest that names them.
+    With `documents_path` or `events_path`, bodies and events are stored before the manifest
+    entries, which commit the run.
     """
     if store.has_run(run_id):
         return
@@ -60,6 +65,9 @@ def process_batch(
     if documents_path is not None:
         stored = documents.select_stored(batch, outcomes, ("url", "observed_at"))
         documents.write_documents(stored, documents_path, run_id)
+    if events_path is not None:
+        now = F.lit(datetime.now(timezone.utc))
+        write_events(outcome.events_from_outcomes(outcomes, run_id, now), events_path)
     # File names with several URLs keep the last stored one, with its own time.
     rows = outcome.manifest_rows(outcomes, F.col("observed_at"), documents_path or store.path)
     store.append(rows, run_id)
@@ -75,6 +83,7 @@ def incremental_stream(
     cap: int = content.SIZE_CAP,
     trigger: dict | None = None,
     documents_path: str | None = None,
+    events_path: str | None = None,
 ) -> StreamingQuery:
     """Runs every micro-batch against the manifest and appends what it stored.
 
@@ -88,7 +97,8 @@ def incremental_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         query_id = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         process_batch(
-            batch, store, f"{run_prefix}-{query_id}-{batch_id}", cap, documents_path=documents_path
+            batch, store, f"{run_prefix}-{query_id}-{batch_id}", cap, documents_path=documents_path,
+            events_path=events_path,
         )
 
     return (

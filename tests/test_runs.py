@@ -297,3 +297,48 @@ def test_the_latest_body_is_that_of_the_last_committed_run(spark, tmp_path):
         if n < 11:  # the last one is never committed
             store.append(empty_manifest(spark), f"batch-{n}")
     assert documents.latest_documents(spark, docs, store.runs()).first()["run_id"] == "batch-10"
+
+
+def test_repeated_observations_count_once(spark, tmp_path):
+    site = _site(spark, "SPEC-1.pdf")
+    good, cut = b"%PDF-1.4\nwhole\n%%EOF", b"%PDF-1.4\nlonger, but cut off"
+    heads = [(D1, "20", JAN1, None), (D1, "20", JAN1, None), (D1, None, None, "timed out")]
+    failed = spark.createDataFrame([(0, ROOT, None, None, "reset")], schemas.PAGES)
+    tables = _tables(spark, [(D1, cut), (D1, good), (D1, b"%PDF-1.4\n%%EOF")], heads)
+    run = _run(spark, site.unionByName(site).unionByName(failed), tables, empty_manifest(spark))
+    entry = run.new_entries.collect()
+    assert [(r["url"], r["size"], r["checksum"]) for r in entry] == [
+        (D1, len(good), hashlib.sha256(good).hexdigest())]
+    assert sorted(r["event_type"] for r in run.events.collect()) == [
+        "crawl_complete", "crawl_success", "download_success"]
+    store = ManifestStore(spark, str(tmp_path / "store"))
+    store_run(run, tables[2], store, str(tmp_path / "docs"), str(tmp_path / "events"))
+    kept = documents.document_contents(
+        spark, str(tmp_path / "docs"), documents.latest_documents(spark, str(tmp_path / "docs")))
+    assert [bytes(r["content"]) for r in kept.collect()] == [good]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_change_decision_joins_from_the_candidates(spark):
+    docs = spark.createDataFrame([(D1,)], "url string")
+    heads = change.head_observations(spark.createDataFrame([(D1, "5", JAN1, None)], schemas.HEADS))
+    stored = spark.createDataFrame([], schemas.STORED)
+    decided = change.change_decision(change.candidates(docs), empty_manifest(spark), stored, heads)
+    assert "FullOuter" not in _plan(decided)
+    full = change.full_decision(change.candidates(docs), heads)
+    assert [(r["decision"], r["reason"]) for r in full.collect()] == [("fetch", "full_run")]
+    assert "known" not in _plan(full) and "on_disk" not in _plan(full)
+
+
+def test_duplicate_files_hash_bodies_once(spark, tmp_path):
+    spark.createDataFrame([("a", b"1"), ("b", b"1"), ("c", b"2")], "filename string, content binary"
+                          ).write.parquet(str(tmp_path / "files"))
+    hashed = spark.read.parquet(str(tmp_path / "files")).select(
+        content.content_checksum(F.col("content")).alias("checksum"), "filename",
+        F.octet_length("content").cast("bigint").alias("size"))
+    found = reports.duplicate_files(hashed)
+    assert "content" not in _plan(found) and "sha2" not in _plan(found)
+    assert sorted((r["filename"], r["is_keeper"]) for r in found.collect()) == [("a", True), ("b", False)]

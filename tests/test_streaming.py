@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from docflow import schemas
 from docflow.operators import monitor
 from docflow.sources import documents
+from docflow.sources.events import read_events
 from docflow.sources.manifests import ManifestStore
 from docflow.streaming import alerts, incremental
 
@@ -89,3 +90,19 @@ def test_alert_streams_equal_batch(spark, tmp_path):
         closed = batch.filter(F.col("window_start") <= written.agg(F.max("window_start")).first()[0])
         assert sorted(map(tuple, written.collect())) == sorted(map(tuple, closed.collect()))
         assert written.count() >= 9
+
+
+def test_stream_leaves_events(spark, tmp_path):
+    source, where, checkpoint, log = (str(tmp_path / n) for n in ("in", "store", "cp", "log"))
+    bad = ("https://h/bad.pdf", "3", "d1", None, b"no!", T0)
+    _write(spark, source, [_row("a", "1", 0), _row("c", "1", 0, error="timed out"), bad,
+                           _row("big", "1", 0, length=str(1 << 40))])
+    for day in (1, 2):
+        stream = spark.readStream.schema(schemas.OBSERVATIONS).parquet(source)
+        incremental.incremental_stream(stream, where, checkpoint, events_path=log).awaitTermination()
+        got = sorted((r["event_type"], r["file"], r["error"]) for r in read_events(spark, log).collect())
+        assert got == sorted([
+            ("download_success", "a.pdf", None), ("download_error", "c.pdf", "timed out"),
+            ("validation_error", "bad.pdf", "Invalid PDF format"), ("size_error", "big.pdf", "File too large"),
+        ] + [("download_success", "z.pdf", None)] * (day - 1))
+        _write(spark, source, [_row("a", "1", day), _row("z", "1", day)])
