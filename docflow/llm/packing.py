@@ -35,12 +35,19 @@ MOST_BYTES = 64 << 20  # of a tokenizer file, which is broadcast
 
 
 class WordTokenizer:
-    """Ids of a text by a tokenizer that drops white space, so it can be asked word by word."""
+    """Ids of a text by a tokenizer that drops white space, so it can be asked word by word.
 
-    def __init__(self, model: str) -> None:
+    `special`: strings of special tokens in a text are those tokens, as the library has it by default,
+    and not ordinary text.
+    """
+
+    def __init__(self, model: str, special: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spaced = [t for t in self.added if not {" ", "\n"}.isdisjoint(t)]
+        self.joined = all(not set(MARKS).isdisjoint(t) for t in self.added)  # none in letters and spaces
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
@@ -51,8 +58,13 @@ class WordTokenizer:
         ids = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _has(self, tokens: list[str], text: str) -> bool:
+        """Whether the text may hold one of the added tokens."""
+        folded = text.lower() if tokens else ""
+        return any(t in folded for t in tokens)
+
     def _ids(self, word: str) -> bytes:
-        if word.isalpha():
+        if word.isalpha() or self._has(self.added, word):
             return self._encode(word)
         head = word.rstrip(MARKS)
         if head.isalpha():  # letters and marks are never one token; no mark of these changes a letter
@@ -63,7 +75,7 @@ class WordTokenizer:
         """Asks for all new words of letters at once: each ends with a token that ends a word."""
         heads = [h for h in {p.rstrip(MARKS) for p in pieces}
                  if h.isalpha() and len(h) <= LONGEST and h not in self.words and h not in self.words.old]
-        if len(heads) < 2:
+        if len(heads) < 2 or not self.joined:
             return
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(heads)], add_special_tokens=False)[0].ids, "<u4")
         stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
@@ -75,6 +87,8 @@ class WordTokenizer:
             start = stop
 
     def __call__(self, text: str) -> bytes:
+        if self._has(self.spaced, text):
+            return self._encode(text)
         pieces = text.replace("\n", " ").split(" ")
         known = self.words
         self._learn({p for p in set(pieces) if p not in known})
@@ -89,7 +103,7 @@ def _tokenizer(model) -> WordTokenizer:
     key = hash(model.value)
     if key not in _tokenizers:
         _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(model.value)
+        _tokenizers[key] = WordTokenizer(model.value, special=True)
     return _tokenizers[key]
 
 

@@ -73,3 +73,21 @@ def test_hard_cases(hard, empty, tokenizer):
 def test_words_are_tokenized_as_the_whole(tokenizer, text):
     got = packing.WordTokenizer(open(queries.WORDS, encoding="utf-8").read())(text)
     assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids_of(tokenizer, text)[:-1]
+
+
+def test_special_tokens_as_the_library_has_them(spark):
+    plain = Tokenizer.from_file(queries.WORDS)
+    texts = ["see <|endoftext|> here", "<|endoftext|>", "x<|endoftext|>'s <|startoftext|>!", "a <|ENDOFTEXT|> <|endof text|> b"]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [862, 49407, 763]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in packing.tokenized(docs, queries.WORDS).collect():
+        assert list(struct.unpack(f"<{len(r.ids) // 4}I", r.ids)) == ids_of(plain, texts[r.doc_id])
+
+
+@pytest.mark.parametrize("token", ["new york", "<a b>", "york", "<||>", "end|"])
+def test_added_tokens_of_any_form(token):
+    own = Tokenizer.from_file(queries.WORDS)
+    own.add_special_tokens([token])
+    text = f"in new york and yorkshire york|| at <a b> or x<a b>y and the end|| z<||> {token}\n{token}"
+    got = packing.WordTokenizer(own.to_str(), special=True)(text)
+    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids_of(own, text)[:-1]
