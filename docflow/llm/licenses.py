@@ -1,11 +1,11 @@
 """License scans by an exact set-similarity join.
 
-A text's blocks are runs of words that begin at every `STRIDE`-th word; a block meets a template if
+A text's blocks are runs of `BLOCK` words that begin at each of the templates' words; a block meets a template if
 it holds at least the threshold's share of the template's different words. Words that are in no
 template can't count, so a block is what it has of the templates' words, and a text that hasn't
 enough of them as a whole has no blocks. Words are ordered by the number of texts that have them,
 rarest first, over all texts; blocks and templates join on the words of their prefixes, length and
-position bound what they can still share, and what remains is verified. This finds every block.
+position bound what they can still share, and what remains is verified. This finds every run of words.
 
 Beside it, phrases are counted where their words stand one behind the other.
 
@@ -29,7 +29,7 @@ from docflow.reliable import saved
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.8     # share of a template's words
 BLOCK = 64          # words of a block
-STRIDE = 32         # words between the beginnings of blocks; no template may have more
+STRIDE = 32         # words a template may have, half a block
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -92,11 +92,15 @@ def prepared(df: DataFrame, keys: list[str], text: str, phrases: dict[str, str],
     for s in sets:
         enough = enough | (F.size(F.array_intersect(held, _texts(s))) >= overlap(len(s), threshold))
     least = min(overlap(len(s), threshold) for s in sets)
-    starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(STRIDE))
+    counted = _texts(sorted({w for s in sets for w in s}))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(counted, F.get(words, i))
+    )
     blocks = F.filter(
         F.transform(starts, lambda s: F.array_intersect(F.slice(words, s + 1, F.lit(BLOCK)), held)),
         lambda b: F.size(b) >= least,
     )
+    blocks = F.array_distinct(blocks)
     return rows.select(
         *[f"k{i}" for i in range(len(keys))], "key", F.size("words").cast("long").alias("n_words"),
         F.flatten(F.array(*places)).alias("places"), "held",

@@ -82,3 +82,11 @@ def test_hard_cases(hard, empty):
 def test_no_python_in_the_plan(spark):
     plan = queries.op4_licenses(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_notice_is_found_wherever_it_stands(spark):
+    """Two foreign words before each of a notice's: 60 words, which fit one block of 64 only."""
+    spread = " ".join(f"xx yy {w}" for w in licenses.TEMPLATES[0][0].split())
+    df = spark.createDataFrame([(i, "zz " * i + spread + " zz" * 40) for i in range(32)], "doc_id long, text string")
+    got = {r.doc_id: [f.label for f in r.found] for r in licenses.scan(df, ["doc_id"]).collect()}
+    assert got == {i: ["mit"] for i in range(32)}
