@@ -17,7 +17,7 @@ def brute(text, templates=licenses.TEMPLATES, threshold=licenses.THRESHOLD):
         p = phrase.split()
         places += [(i, label) for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
     found = {}
-    for start in range(0, len(words), licenses.STRIDE):
+    for start in range(len(words)):
         block = set(words[start : start + licenses.BLOCK])
         for t, label in templates:
             s = set(t.split())

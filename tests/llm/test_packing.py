@@ -12,9 +12,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(queries.WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.WORDS)
 
 
 def ids_of(tokenizer, text):
@@ -71,7 +69,7 @@ def test_hard_cases(hard, empty, tokenizer):
 @pytest.mark.parametrize("text", ["İstanbul ΣΑΣ é é ́x", "a\x1cb a\x85b a b 　", "<|endoftext|> x<|startoftext|>",
                                   "it's we'll 'S 12 ½²", "日本語 👍🏽‍👩 \n\n\t tail ", " ", "A\nB\r\nC"])
 def test_words_are_tokenized_as_the_whole(tokenizer, text):
-    got = packing.WordTokenizer(open(queries.WORDS, encoding="utf-8").read())(text)
+    got = packing.WordTokenizer(open(queries.WORDS, encoding="utf-8").read(), special=True)(text)
     assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids_of(tokenizer, text)[:-1]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docflow.llm import queries, rules, stages, toxicity
 from docflow.reliable import saved
 from test_secrets import base_spans, more_spans
-from test_similar import brute_groups, brute_signature, jaccard, shingles
+from test_similar import jaccard, shingles
 
 DATA = "/root/testdata/sf0.001"
 
@@ -16,6 +16,26 @@ def ids(rows):
     return sorted(r.doc_id for r in rows)
 
 
+def jaccard_groups(rows, threshold=0.8):
+    """The smallest id of each row's group, linked by exact Jaccard of five-word shingles."""
+    sets = [(r.doc_id, shingles(r.text)) for r in rows]
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(sets)), 2):
+        if jaccard(sets[i][1], sets[j][1]) >= threshold:
+            parent[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        least[root(i)] = min(least.get(root(i), d), d)
+    return {d: least[root(i)] for i, (d, _) in enumerate(sets)}
+
+
 @pytest.fixture(scope="module")
 def results(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
@@ -33,8 +53,7 @@ def test_stages_against_brute_force(spark, results):
     assert ids(ruled) == sorted(kept) and len(kept) < len(docs)
     chain = toxicity.fit(results[1], spark.read.parquet(f"{DATA}/labels.parquet"))
     assert ids(clean) == ids(toxicity.judged(results[1], chain, ["doc_id"]).filter("NOT toxic").collect())
-    groups = brute_groups([(r.doc_id, brute_signature(r.text)) for r in clean])
-    assert ids(single) == sorted(set(groups.values()))
+    assert ids(single) == sorted(set(jaccard_groups(clean).values()))
     left = [shingles(r.text) for r in single]
     assert not any(jaccard(a, b) >= 0.85 for a, b in combinations(left, 2))
     before = {r.doc_id: r.text for r in single}
