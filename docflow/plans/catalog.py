@@ -1045,6 +1045,33 @@ def incremental_stream(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH {_RES}
+SELECT filename, url,
+  CASE WHEN doc_id % 3 = 0 THEN content_length + 8 ELSE content_length END AS size,
+  last_modified,
+  CASE WHEN doc_id % 3 = 0 THEN TIMESTAMP '2025-01-02 00:00:00'
+    ELSE TIMESTAMP '2025-01-01 00:00:00' END AS downloaded_at
+FROM res""")
+def document_states_stream(spark, sf_dir):
+    """Per-document state machines over three waves: two days, then the first day's observations again,
+    late now, which change nothing. The manifest is that of the batch runs."""
+    from docflow.schemas import MANIFEST, OBSERVATIONS
+    from docflow.streaming.states import document_states, manifest_after
+
+    folder = new_folder(spark, "states")
+    first, second = _waves(spark, sf_dir)
+    initial = spark.createDataFrame([], MANIFEST)
+    for wave in (first, second, first):
+        wave.write.mode("append").parquet(f"{folder}/observations")
+        stream = spark.readStream.schema(OBSERVATIONS).parquet(f"{folder}/observations")
+        rows = document_states(stream, initial, f"{folder}/documents")
+        (rows.writeStream.format("parquet").option("path", f"{folder}/rows")
+         .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    manifest = manifest_after(initial, spark.read.parquet(f"{folder}/rows"))
+    return manifest.select("filename", "url", "size", "last_modified", "downloaded_at")
+
+
 @query(f"WITH {_RES} SELECT url, last_modified FROM res")
 def dedup_stream(spark, sf_dir):
     """The same observations three times over: each is counted once."""

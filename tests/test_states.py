@@ -1,0 +1,73 @@
+from datetime import datetime, timedelta
+
+from docflow import schemas
+from docflow.sources.manifests import ManifestStore
+from docflow.streaming import incremental, states
+
+T0 = datetime(2024, 6, 3, 8)
+
+
+def obs(name, text, hours, date="w1", error=None, body=True):
+    content = b"%PDF-1.7\n" + text.encode() + b"\n%%EOF" if body else None
+    length = str(len(content)) if content else "120"
+    return (f"https://files.example/lib/{name}.pdf", length, date, error, None if error else content,
+            T0 + timedelta(hours=hours))
+
+
+WAVES = [
+    [obs("plan", "v1", 1), obs("plan", "v0", 0), obs("spec", "first", 2), obs("memo", "x", 3, error="503"),
+     obs("note", "", 4, body=False)],
+    [obs("plan", "v1", 30), obs("spec", "second edition", 31), obs("memo", "x", 32), obs("note", "", 33, body=False),
+     obs("spec", "second edition", 31)],
+    [obs("plan", "stale copy", 20), obs("spec", "second edition", 60), obs("form", "new", 61)],
+]
+LATE = {(0, 2)}  # observations that arrive after a later one of their URL
+
+
+def manifest_of(df):
+    return sorted((r.filename, r.url, r.size, r.checksum, r.last_modified, r.downloaded_at)
+                  for r in df.collect())
+
+
+def test_waves_give_the_batch_runs_manifest(spark, tmp_path):
+    source, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    start = ManifestStore(spark, str(tmp_path / "batch"))
+    initial = spark.createDataFrame([], schemas.MANIFEST)
+    for i, wave in enumerate(WAVES):
+        spark.createDataFrame(wave, schemas.OBSERVATIONS).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.OBSERVATIONS).parquet(source)
+        rows = states.document_states(stream, initial, str(tmp_path / "docs"), delay="2 hours")
+        (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", cp)
+         .trigger(availableNow=True).start().awaitTermination())
+        on_time = [r for j, r in enumerate(wave) if (j, i) not in LATE]
+        incremental.process_batch(spark.createDataFrame(on_time, schemas.OBSERVATIONS), start, f"wave-{i}")
+    got = spark.read.parquet(out)
+    after = states.manifest_after(initial, got)
+    want = start.read()
+    mine = sorted((r.filename, r.url, r.size, r.checksum, r.last_modified, r.downloaded_at) for r in after.collect())
+    theirs = sorted((r.filename, r.url, r.size, r.checksum, r.last_modified, r.downloaded_at) for r in want.collect())
+    assert mine == theirs and len(mine) == 4
+    events = got.collect()
+    by = lambda name, status: [r for r in events if r.filename == f"{name}.pdf" and r.status == status]
+    assert len(by("memo", "error")) == 1 and len(by("memo", "success")) == 1
+    assert [r.failures for r in by("note", "error")] == [1, 2]
+    assert by("note", "retry_due") and not by("memo", "retry_due")
+    assert len(by("plan", "skipped_unchanged")) == 1
+    assert len(by("plan", "success")) == 1 and by("plan", "success")[0].size == len(b"%PDF-1.7\nv1\n%%EOF")
+    assert all(r.status != "success" for r in by("plan", "late"))
+
+
+def test_initial_state_from_the_manifest(spark, tmp_path):
+    source = str(tmp_path / "in")
+    known = spark.createDataFrame(
+        [("plan.pdf", "https://files.example/lib/plan.pdf", 17, "c0", "w1", T0, "/d/plan.pdf")], schemas.MANIFEST)
+    spark.createDataFrame([obs("plan", "v1", 5), obs("form", "f", 5)], schemas.OBSERVATIONS).write.parquet(source)
+    stream = spark.readStream.schema(schemas.OBSERVATIONS).parquet(source)
+    rows = states.document_states(stream, known, "/d")
+    got = rows.writeStream.format("memory").queryName("machine_rows").option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    got.awaitTermination()
+    out = {r.filename: r for r in spark.table("machine_rows").collect()}
+    assert out["plan.pdf"].status == "skipped_unchanged" and out["form.pdf"].status == "success"
+    plan = manifest_of(states.manifest_after(known, spark.table("machine_rows")))[1]
+    assert plan[:4] == ("plan.pdf", "https://files.example/lib/plan.pdf", 17, "c0")
