@@ -24,9 +24,11 @@ are left out; very long documents give many whole pieces, which are items like a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.llm.packing import tokenized
@@ -167,9 +169,21 @@ def assign(items: DataFrame) -> tuple[DataFrame, dict]:
     return out, figures
 
 
-def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict]:
-    """Pieces of all documents with their `sequence_id` and `offset` there; and the rounds' figures."""
+def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+         digest: Callable[[Column], Column] | None = None) -> tuple[DataFrame, dict]:
+    """Pieces of all documents with their `sequence_id` and `offset` there; and the rounds' figures.
+
+    Pieces carry their `ids`, or with `digest` only `digest(ids)`, computed before the pieces meet
+    their places: then no ids cross the shuffle of that join.
+    """
     tokens = tokenized(df, path, key, text)
-    cut = saved(pieces(tokens, key), "bestfit-pieces")
-    placed, figures = assign(cut.select(*KEY, "length"))
+    size = (F.octet_length("ids") / 4).cast("long")
+    counts = tokens.select("part", "before", size.alias("n")).select(
+        "*", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / CAPACITY).cast("int"))).alias("piece"))
+    items = counts.select(*KEY, F.least(F.lit(CAPACITY).cast("long"), F.col("n") - F.col("piece") * CAPACITY)
+                          .alias("length"))
+    placed, figures = assign(items)
+    cut = pieces(tokens, key)
+    if digest is not None:
+        cut = cut.withColumn("ids", digest(F.col("ids")))
     return cut.join(placed, KEY).drop("part", "before"), figures

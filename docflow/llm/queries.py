@@ -100,8 +100,8 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces, _ = bestfit.pack(table(spark, sf_dir, "documents"), WORDS)
-    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    pieces, _ = bestfit.pack(table(spark, sf_dir, "documents"), WORDS, digest=F.crc32)
+    return pieces.select("doc_id", "piece", "start", "length", F.col("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
