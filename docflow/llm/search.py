@@ -96,9 +96,22 @@ def queries_of(items: DataFrame, key: str = "item_id", text: str = "text") -> Da
     ).distinct()
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", item_key: str = "item_id",
            text: str = "text") -> tuple[DataFrame, list[dict]]:
-    """Each query's k best documents with a score above 0: item, rank (from 1), key, score; and the rounds."""
+    """Each query's k best documents with a score above 0: item, rank (from 1), key, score; and the rounds.
+
+    Rounds are incremental: round r reads positions (D/2, D] by sorted access and looks up only the
+    documents that it sees first. The best position of a list is found in the next window (D, 2D],
+    whose positions are the next round's sorted access: the run of positions there whose documents
+    the query has seen carries it on, at most to 2D (beyond that the next round reads anyway).
+    """
     spark = docs.sparkSession
     asked = saved(queries_of(items, item_key, text), "search-queries")
     lists, big_n, big_l = index(docs, asked, key, text)
@@ -106,49 +119,52 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
     # Terms that no document has are empty lists: seen to their end from the start.
     asked = asked.join(_small(lengths, asked.count()), "term", "left").fillna(0, ["len"])
     open_ = asked.select("qid").distinct()
-    results, rounds, depth = [], [], k
+    results, rounds, scored, seen_rows = [], [], [], 0
+    low, depth = 0, k
     while open_.count() > 0:
         queries = asked.join(open_, "qid")
-        seen_terms = queries.count()
-        # Sorted access: positions 1..depth of each list of each open query.
-        top = lists.filter(F.col("position") <= depth).join(_small(queries.select("qid", "term"), seen_terms), "term")
-        seen = top.select("qid", "row").distinct()
-        n_seen = seen.count()
-        # Direct access: the seen documents' postings in every list of their query.
-        found = saved(lists.join(_small(seen, n_seen), "row").join(_small(queries.select("qid", "term"), seen_terms),
-                                                                   ["qid", "term"])
-                      .select("qid", "term", "row", "key", "position", "impact"), "search-found")
-        scores = found.groupBy("qid", "row", "key").agg(F.sum("impact").alias("score"))
-        # Best position: sorted access covers 1..min(depth, len); direct access may carry the run on.
+        pairs = _small(queries.select("qid", "term"), queries.count())
+        seen_all = _union([p.select("qid", "row") for p in scored]) if scored else None
+        # Sorted access: positions (low, depth] of each list of each open query; documents seen first now.
+        window = lists.filter((F.col("position") > low) & (F.col("position") <= depth)).join(pairs, "term")
+        new = window.select("qid", "row").distinct()
+        if seen_all is not None:
+            new = new.join(_small(seen_all, seen_rows), ["qid", "row"], "left_anti")
+        new = saved(new, "search-new")
+        n_new = new.count()
+        # Direct access: every posting of a newly seen document in the lists of its query.
+        found = lists.join(_small(new, n_new), "row").join(pairs, ["qid", "term"])
+        scored.append(saved(found.groupBy("qid", "row", "key").agg(F.sum("impact").alias("score")), "search-scores"))
+        seen_rows += n_new
+        seen_all = _union([p.select("qid", "row") for p in scored])
+        # Best position: 1..min(depth, len) are seen; seen positions from depth + 1 on carry it further.
         covered = F.least(F.lit(depth).cast("long"), F.col("len"))
-        beyond = found.join(queries.select("qid", "term", "len"), ["qid", "term"]).filter(F.col("position") > covered)
+        ahead = lists.filter((F.col("position") > depth) & (F.col("position") <= 2 * depth)).join(pairs, "term") \
+            .join(_small(seen_all, seen_rows), ["qid", "row"], "left_semi")
         run = F.col("position") - F.row_number().over(Window.partitionBy("qid", "term").orderBy("position"))
-        carried = beyond.select("qid", "term", (run == covered).alias("on")).groupBy("qid", "term").agg(
+        carried = ahead.select("qid", "term", (run == depth).alias("on")).groupBy("qid", "term").agg(
             F.sum(F.col("on").cast("long")).alias("more"))
         best = queries.join(carried, ["qid", "term"], "left").select(
             "qid", "term", "len", (covered + F.coalesce("more", F.lit(0))).alias("best"))
         at = best.filter(F.col("best") < F.col("len")).join(
             lists.select("term", F.col("position").alias("best"), "impact"), ["term", "best"])
-        threshold = queries.select("qid").distinct().join(
-            at.groupBy("qid").agg(F.sum("impact").alias("threshold")), "qid", "left").fillna(0, ["threshold"])
+        threshold = open_.join(at.groupBy("qid").agg(F.sum("impact").alias("threshold")), "qid", "left") \
+            .fillna(0, ["threshold"])
         order = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("key").asc_nulls_first(), "row")
-        ranked = scores.filter("score > 0").select("*", F.row_number().over(order).alias("rank")).filter(f"rank <= {k}")
+        mine = _union(scored).join(open_, "qid", "left_semi")
+        ranked = mine.filter("score > 0").select("*", F.row_number().over(order).alias("rank")).filter(f"rank <= {k}")
         kth = ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("have"), F.min("score").alias("kth"))
         verdict = saved(threshold.join(kth, "qid", "left").select(
             "qid", ((F.col("threshold") == 0) | ((F.col("have") == k) & (F.col("kth") > F.col("threshold")))).alias("done")
         ), "search-verdict")
-        done = verdict.filter("done").select("qid")
-        results.append(saved(ranked.join(done, "qid"), "search-ranked"))
+        results.append(saved(ranked.join(verdict.filter("done").select("qid"), "qid"), "search-ranked"))
         open_ = verdict.filter("NOT done").select("qid")
-        rounds.append({"depth": depth, "seen": n_seen, "open": open_.count()})
-        depth *= 2
-    out = None
+        rounds.append({"depth": depth, "new": n_new, "open": open_.count()})
+        low, depth = depth, depth * 2
     names = asked.select("qid", "item").distinct()
-    for part in results:
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    if not results:
         return spark.createDataFrame([], f"{item_key} {items.schema[item_key].dataType.simpleString()}, rank int, "
                                          f"{key} {docs.schema[key].dataType.simpleString()}, score long"), rounds
-    return out.join(names, "qid").select(
+    return _union(results).join(names, "qid").select(
         F.col("item").alias(item_key), F.col("rank").cast("int").alias("rank"), F.col("key").alias(key), "score"
     ), rounds
