@@ -36,7 +36,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 K = 10                      # documents given for each query
-BROADCAST_ROWS = 2_000_000  # look-ups of direct access that are broadcast; beyond, they are joined by shuffle
+BROADCAST_ROWS = 250_000    # rows of a side that is broadcast (each a few longs); beyond, it is joined by shuffle
 
 
 def terms(text: Column) -> Column:
@@ -117,13 +117,14 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
     lists, big_n, big_l = index(docs, asked, key, text)
     lengths = lists.select("term", "len").distinct()
     # Terms that no document has are empty lists: seen to their end from the start.
-    asked = asked.join(_small(lengths, asked.count()), "term", "left").fillna(0, ["len"])
+    n_asked = asked.count()
+    asked = saved(asked.join(_small(lengths, n_asked), "term", "left").fillna(0, ["len"]), "search-asked")
     open_ = asked.select("qid").distinct()
     results, rounds, scored, seen_rows = [], [], [], 0
     low, depth = 0, k
     while open_.count() > 0:
-        queries = asked.join(open_, "qid")
-        pairs = _small(queries.select("qid", "term"), queries.count())
+        queries = asked.join(_small(open_, n_asked), "qid")
+        pairs = _small(queries.select("qid", "term"), n_asked)
         seen_all = _union([p.select("qid", "row") for p in scored]) if scored else None
         # Sorted access: positions (low, depth] of each list of each open query; documents seen first now.
         window = lists.filter((F.col("position") > low) & (F.col("position") <= depth)).join(pairs, "term")
