@@ -134,6 +134,25 @@ folded AS (
            AS last_message
   FROM tries WHERE NOT done GROUP BY l_orderkey)"""
 
+# Attempts of documents: every order belongs to document (order number mod document count).
+_DOC_TRIES = f"""
+doc_ranked AS (
+  SELECT *, l_returnflag <> 'R' AS ok, l_orderkey % (SELECT count(*) FROM documents) AS doc_key
+  FROM lineitem),
+doc_numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_key ORDER BY l_orderkey, {_ITEM_ORDER}) AS attempt_no
+  FROM doc_ranked),
+doc_tries AS (
+  SELECT *, coalesce(bool_or(ok) OVER (PARTITION BY doc_key ORDER BY attempt_no
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS done
+  FROM doc_numbered WHERE attempt_no <= 3),
+doc_folded AS (
+  SELECT doc_key, bool_or(ok) AS ok, count(*) AS attempts,
+         count(*) FILTER (NOT ok) AS failures,
+         arg_max(CASE WHEN ok THEN '' ELSE 'HTTP 503 from part ' || l_partkey END, attempt_no)
+           AS last_message
+  FROM doc_tries WHERE NOT done GROUP BY doc_key)"""
+
 _SETTLED = f"""
 settled AS (
   SELECT d.*, f.failures, f.last_message,
@@ -143,7 +162,7 @@ settled AS (
          WHEN d.doc_id % 23 = 0 THEN 'invalid_pdf'
          ELSE 'success' END AS fetch_status
   FROM decided d
-  LEFT JOIN folded f ON f.l_orderkey = d.doc_id AND d.url LIKE '{ROOT}/%'),
+  LEFT JOIN doc_folded f ON f.doc_key = d.doc_id AND d.url LIKE '{ROOT}/%'),
 flips AS (
   SELECT *, snap_reason = 'unchanged' AND coalesce(
       bool_or(snap_reason <> 'unchanged' AND fetch_status = 'success') OVER (
@@ -177,7 +196,7 @@ entries AS (
          arg_max(coalesce(last_modified, '?'), url) AS modified
   FROM outcome_rows WHERE status = 'success' GROUP BY filename)"""
 
-_OUTCOME = f"WITH {_RES}, {_MANIFEST}, {_HEADS}, {_DECIDED}, {_TRIES}, {_SETTLED}"
+_OUTCOME = f"WITH {_RES}, {_MANIFEST}, {_HEADS}, {_DECIDED}, {_DOC_TRIES}, {_SETTLED}"
 
 _LOG = """
 log AS (
@@ -618,7 +637,7 @@ FROM outcome_rows WHERE status <> 'skipped_unchanged'"""
 UNION ALL
 SELECT 'run-1', t.l_shipdate, 'download_retry', o.url, o.filename,
   'HTTP 503 from part ' || t.l_partkey, NULL, NULL, NULL, NULL
-FROM outcomes o JOIN tries t ON t.l_orderkey = o.doc_id AND o.url LIKE '{ROOT}/%'
+FROM outcomes o JOIN doc_tries t ON t.doc_key = o.doc_id AND o.url LIKE '{ROOT}/%'
 WHERE NOT t.done AND NOT t.ok AND o.decision <> 'error'
   AND o.status NOT IN ('skipped_unchanged', 'too_large')""", fill=("size", "pdf_count", "retry_count"))
 def events_from_outcomes(spark, sf_dir):
@@ -662,7 +681,7 @@ def _run(spark, sf_dir, mode: str = "incremental") -> collection.Run:
 # The run sees only the URLs that the crawl finds; document URLs elsewhere are unknown to it.
 _RUN = f"""WITH RECURSIVE {_WALK}, {_RES.replace("hosts AS (", "every_host AS (")},
 hosts AS (SELECT * FROM every_host WHERE url IN (SELECT url FROM found)),
-{_MANIFEST}, {_HEADS}, {_DECIDED}, {_TRIES}, {_SETTLED}"""
+{_MANIFEST}, {_HEADS}, {_DECIDED}, {_DOC_TRIES}, {_SETTLED}"""
 
 
 @query(f"""
@@ -694,7 +713,7 @@ fetch_log AS (
   FROM settled GROUP BY 1
   UNION ALL
   SELECT 'download_error', count(*) FROM settled s
-  JOIN tries t ON t.l_orderkey = s.doc_id AND s.url LIKE '{ROOT}/%'
+  JOIN doc_tries t ON t.doc_key = s.doc_id AND s.url LIKE '{ROOT}/%'
   WHERE NOT t.done AND NOT t.ok AND s.snap_reason <> 'head_error' AND s.fetch_status <> 'too_large'
   UNION ALL
   SELECT 'crawl_complete', 1)
@@ -988,6 +1007,28 @@ def events_roundtrip(spark, sf_dir):
     )
 
 
+@query(f"""
+{_OUTCOME}
+SELECT filename, url, checksum, checksum AS read_checksum FROM entries""")
+def bodies_by_location(spark, sf_dir):
+    """Bodies chosen where they lie, stored over twelve runs (by file name) of which one is written
+    twice, with a body that has no URL; the current ones read back where they lie."""
+    from docflow.functions.content import content_checksum
+    from docflow.schemas import BODIES
+    from docflow.sources.documents import document_contents, latest_documents, select_stored_at, write_documents
+
+    path = new_folder(spark, "located")
+    no_url = spark.createDataFrame([(None, bytearray(b"%PDF-1.4\n\n%%EOF"))], "url string, content binary")
+    derived.bodies(spark, sf_dir).unionByName(no_url).write.parquet(f"{path}/bodies")
+    outcomes = saved(_outcomes(spark, sf_dir), "outcomes")
+    chosen = saved(select_stored_at(spark, f"{path}/bodies", outcomes, BODIES), "chosen-bodies")
+    runs = F.pmod(F.xxhash64("filename"), F.lit(12))
+    for run in [*range(12), 7]:
+        write_documents(chosen.filter(runs == run), f"{path}/store", f"run-{run:02d}")
+    current = document_contents(spark, f"{path}/store", latest_documents(spark, f"{path}/store"))
+    return current.select("filename", "url", "checksum", content_checksum(F.col("content")).alias("read_checksum"))
+
+
 @query(f"""
 {_OUTCOME}
 SELECT filename, url, checksum FROM entries""")

@@ -118,10 +118,13 @@ def item_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts of the resources: order number = document number, position as attempt."""
-    res = resources(spark, sf_dir).select("url", F.col("doc_id").alias("l_orderkey"))
-    tried = item_attempts(spark, sf_dir).join(res, "l_orderkey")
-    order = F.struct(*ATTEMPT_ORDER)
+    """Attempts of the resources: every order belongs to document (order number mod document count),
+    its items in order of order number, then position. All line items take part."""
+    documents = table(spark, sf_dir, "documents").count()
+    res = resources(spark, sf_dir).select("url", "doc_id")
+    items = item_attempts(spark, sf_dir).withColumn("doc_id", F.pmod("l_orderkey", F.lit(max(documents, 1))))
+    tried = items.join(res, "doc_id")
+    order = F.struct("l_orderkey", *ATTEMPT_ORDER)
     return tried.select("url", order.alias("attempt"), "ok", "error", "attempted_at")
 
 

@@ -1,0 +1,65 @@
+import re
+
+from pyspark.sql import functions as F
+
+from docflow.functions.content import content_checksum
+from docflow.schemas import BODIES, DOCUMENTS
+from docflow.sources import documents
+
+
+def exchanges(df):
+    """Inputs of every shuffle of the physical plan."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return re.findall(r"\(\d+\) (?:Exchange|ShuffleExchange)[^\n]*\nInput \[\d+\]: \[([^\]]*)\]", text)
+
+
+def store(spark, path, runs):
+    for run, rows in runs.items():
+        docs = spark.createDataFrame(rows, "filename string, url string, content binary")
+        documents.write_documents(docs.select("filename", "url", content_checksum(F.col("content")).alias("checksum"),
+                                              "content").repartition(3), path, run)
+
+
+def test_rows_at_reads_chosen_places_in_blocks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 40, numPartitions=4).selectExpr("id", "repeat('x', CAST(id AS INT)) AS body").write.parquet(path)
+    schema = "id long, body string"
+    where = documents.located(spark.read.schema(schema).parquet(path))
+    chosen = where.filter("id % 3 = 0 OR id = 37").select(documents.FILE, documents.ROW)
+    twice = chosen.unionByName(chosen.limit(2))
+    for block in (2, 3, 5, 1000):
+        got = documents.rows_at(spark, path, schema, twice, block_rows=block).collect()
+        assert sorted(r.id for r in got) == [i for i in range(40) if i % 3 == 0 or i == 37]
+        assert all(r.body == "x" * r.id for r in got)
+    empty = chosen.filter("false")
+    assert documents.rows_at(spark, path, schema, empty).count() == 0
+
+
+def test_document_contents_moves_no_content(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store(spark, path, {
+        "r01": [("a.pdf", "https://x/a.pdf", b"A1"), ("b.pdf", "https://x/b.pdf", b"B1"), ("c.pdf", None, b"C")],
+        "r02": [("a.pdf", "https://x/a.pdf", b"A2"), ("d.pdf", "https://x/d.pdf", b"D")],
+        "r03": [("b.pdf", "https://y/b.pdf", b"B3"), ("b.pdf", "https://x/b.pdf", b"B3x")],
+    })
+    store(spark, path, {"r02": [("a.pdf", "https://x/a.pdf", b"A2 again")]})  # a run written again replaces it
+    latest = documents.latest_documents(spark, path)
+    got = documents.document_contents(spark, path, latest)
+    rows = {r.filename: (r.url, bytes(r.content)) for r in got.collect()}
+    assert rows == {"a.pdf": ("https://x/a.pdf", b"A2 again"), "b.pdf": ("https://y/b.pdf", b"B3"),
+                    "c.pdf": (None, b"C")}
+    shuffled = exchanges(got)
+    assert shuffled and not any("content" in s for s in shuffled)
+
+
+def test_select_stored_at(spark, tmp_path):
+    path = str(tmp_path / "bodies")
+    bodies = [("https://x/a.pdf", b"one"), ("https://x/a.pdf", b"two"), (None, b"three"), ("https://x/b.pdf", b"four")]
+    spark.createDataFrame(bodies, BODIES).write.parquet(path)
+    two = spark.createDataFrame([(b"two",)], "c binary").select(content_checksum(F.col("c"))).first()[0]
+    outcomes = spark.createDataFrame(
+        [("https://x/a.pdf", "success", two), ("https://x/b.pdf", "error", None)], "url string, status string, checksum string")
+    got = documents.select_stored_at(spark, path, outcomes, BODIES)
+    assert [(r.filename, bytes(r.content)) for r in got.collect()] == [("a.pdf", b"two")]
+    assert not any("content" in s for s in exchanges(got))
