@@ -112,12 +112,14 @@ def run_collection(
 
 
 def store_run(
-    run: Run, bodies: DataFrame, store: ManifestStore, documents_path: str, events_path: str
+    run: Run, bodies: DataFrame, store: ManifestStore, documents_path: str, events_path: str,
+    compact_every: int = 50,
 ) -> None:
     """Writes what a run left: bodies, events, and last the manifest entries, which commit it.
 
     A run that failed on the way is made again from `store.read()` and replaces its bodies and
-    events. One that is committed is left alone, for made again it would find nothing new.
+    events. One that is committed is left alone, for made again it would find nothing new. Once
+    `compact_every` runs follow the last snapshot, the manifest is written as a new one.
     """
     if store.has_run(run.run_id):
         return
@@ -126,3 +128,5 @@ def store_run(
     )
     write_events(run.events, events_path)
     store.append(run.new_entries, run.run_id)
+    if len(store.commits()[0]) >= compact_every:
+        store.compact(f"{run.run_id}-compact")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,7 @@ from docflow.sources.json_files import read_map
 log = logging.getLogger(__name__)
 
 _COMMITS = "run_id STRING, kind STRING, seq BIGINT"
+CLAIM_ATTEMPTS = 20  # numbers a writer tries before it gives up
 _LOGGED = StructType([*schemas.MANIFEST.fields, StructField("seq", LongType())])
 
 
@@ -56,9 +58,9 @@ def _utc(text: Column) -> Column:
 class ManifestStore:
     """Manifest kept under one folder as a log of runs.
 
-    Each run appends only the entries it changed. A run counts once its row is in `commits`,
-    written after the data, so readers never see half a run, and a repeated run with the
-    same id is recognised. Reading takes the latest entry per file name; `compact` rewrites
+    Each run appends only the entries it changed. A run counts once its commit file is in `commits`,
+    created (only if absent) after the data, so readers never see half a run, two writers never
+    share a number, and a repeated run with the same id is recognised. Reading takes the latest entry per file name; `compact` rewrites
     the log as one snapshot so that it stays short.
     """
 
@@ -120,10 +122,47 @@ class ManifestStore:
             self._write(self.read(), run_id, "snapshot", commits)
 
     def _write(self, entries: DataFrame, run_id: str, kind: str, commits: list[Row]) -> None:
+        """Writes the run's rows, then claims the next number by creating its commit file if absent.
+
+        Two writers that chose the same number both write their rows, each to a folder of its own run
+        id; only one of them creates the commit file. The other removes its folder, reads the commits
+        again and tries the next number (its rows are computed again, so a snapshot includes what the
+        winner wrote). A run id that another writer committed meanwhile is left alone.
+        """
         seq = commits[-1].seq + 1 if commits else 0
-        entries.withColumn("seq", F.lit(seq).cast("bigint")).write.mode("overwrite").parquet(
-            f"{self.path}/runs/{seq}-{run_id}"
-        )
-        self.spark.createDataFrame([(run_id, kind, seq)], _COMMITS).coalesce(1).write.mode(
-            "append"
-        ).json(f"{self.path}/commits")
+        for _ in range(CLAIM_ATTEMPTS):
+            folder = f"{self.path}/runs/{seq}-{run_id}"
+            entries.withColumn("seq", F.lit(seq).cast("bigint")).write.mode("overwrite").parquet(folder)
+            if self._claim(seq, run_id, kind):
+                return
+            self._delete(folder)
+            commits, known = self.commits(run_id)
+            if known:
+                return
+            seq = commits[-1].seq + 1 if commits else seq + 1
+        raise RuntimeError(f"run {run_id}: no commit number free after {CLAIM_ATTEMPTS} attempts")
+
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+    def _claim(self, seq: int, run_id: str, kind: str) -> bool:
+        """Creates the commit file of `seq` if there is none; whether this writer created it."""
+        fs, path = self._fs(f"{self.path}/commits/commit-{seq:020d}.json")
+        line = json.dumps({"run_id": run_id, "kind": kind, "seq": seq}) + "\n"
+        try:
+            out = fs.create(path, False)
+        except Exception as e:  # py4j hands over the JVM's FileAlreadyExistsException
+            if "FileAlreadyExists" in str(e) or fs.exists(path):
+                return False
+            raise
+        try:
+            out.write(bytearray(line.encode()))
+        finally:
+            out.close()
+        return True
+
+    def _delete(self, folder: str) -> None:
+        fs, path = self._fs(folder)
+        fs.delete(path, True)
