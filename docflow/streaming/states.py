@@ -15,7 +15,9 @@ the earlier ones left. The rules are those of `change.change_decision` and `outc
 States (per URL): unseen -> observed -> (stored | failing | skipped); a failing document gets an
 event-time timer at `retry_after` past its failed observation; if the watermark passes it before a
 success, a `retry_due` row is given out (with the count of failures), and the timer is set again.
-A success clears the run of failures and its timer. An observation of a URL that is not later than
+A success clears the run of failures and its timer, and its row counts the failures before it, so
+attempts that arrive over several micro-batches are folded: a file that fails in two batches and is
+fetched in the third has a success row with two failures (three attempts). An observation of a URL that is not later than
 the last one handled for it is late: it changes nothing and gives a row with status `late`.
 
 Bodies never reach Python: length, checksum and validity are columns computed beforehand.
@@ -133,8 +135,8 @@ class DocumentMachine(StatefulProcessor):
             entry = (obs["url"], obs["body_size"], obs["checksum"], obs["last_modified"], at,
                      f"{self.store}/{filename}")
             self.entry.update(entry)
-            self._clear_failures()
-            yield self._row(filename, obs, decision, reason, status, entry)
+            before = self._clear_failures()
+            yield self._row(filename, obs, decision, reason, status, entry, failures=before)
             return
         failures = 1
         if status == "error":
@@ -147,10 +149,14 @@ class DocumentMachine(StatefulProcessor):
             self.handle.registerTimer(due)
         yield self._row(filename, obs, decision, reason, status, error=error, failures=failures if status == "error" else 0)
 
-    def _clear_failures(self) -> None:
-        if self.failing.exists():
-            self.handle.deleteTimer(self.failing.get()[2])
-            self.failing.clear()
+    def _clear_failures(self) -> int:
+        """Ends a run of failures; gives how many there were."""
+        if not self.failing.exists():
+            return 0
+        failures, _, due = self.failing.get()
+        self.handle.deleteTimer(due)
+        self.failing.clear()
+        return failures
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.failing.exists():

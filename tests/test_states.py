@@ -16,10 +16,11 @@ def obs(name, text, hours, date="w1", error=None, body=True):
 
 WAVES = [
     [obs("plan", "v1", 1), obs("plan", "v0", 0), obs("spec", "first", 2), obs("memo", "x", 3, error="503"),
-     obs("note", "", 4, body=False)],
+     obs("note", "", 4, body=False),
+     obs("card", "c", 5, error="timed out")],
     [obs("plan", "v1", 30), obs("spec", "second edition", 31), obs("memo", "x", 32), obs("note", "", 33, body=False),
-     obs("spec", "second edition", 31)],
-    [obs("plan", "stale copy", 20), obs("spec", "second edition", 60), obs("form", "new", 61)],
+     obs("spec", "second edition", 31), obs("card", "c", 34, body=False)],
+    [obs("plan", "stale copy", 20), obs("spec", "second edition", 60), obs("form", "new", 61), obs("card", "c", 62)],
 ]
 LATE = {(0, 2)}  # observations that arrive after a later one of their URL
 
@@ -46,11 +47,13 @@ def test_waves_give_the_batch_runs_manifest(spark, tmp_path):
     want = start.read()
     mine = sorted((r.filename, r.url, r.size, r.checksum, r.last_modified, r.downloaded_at) for r in after.collect())
     theirs = sorted((r.filename, r.url, r.size, r.checksum, r.last_modified, r.downloaded_at) for r in want.collect())
-    assert mine == theirs and len(mine) == 4
+    assert mine == theirs and len(mine) == 5
     events = got.collect()
     by = lambda name, status: [r for r in events if r.filename == f"{name}.pdf" and r.status == status]
-    assert len(by("memo", "error")) == 1 and len(by("memo", "success")) == 1
+    assert len(by("memo", "error")) == 1 and [r.failures for r in by("memo", "success")] == [1]
     assert [r.failures for r in by("note", "error")] == [1, 2]
+    # fails in two micro-batches, fetched in the third: three attempts
+    assert sorted(r.failures for r in by("card", "error")) == [1, 2] and [r.failures for r in by("card", "success")] == [2]
     assert by("note", "retry_due") and not by("memo", "retry_due")
     assert len(by("plan", "skipped_unchanged")) == 1
     assert len(by("plan", "success")) == 1 and by("plan", "success")[0].size == len(b"%PDF-1.7\nv1\n%%EOF")
