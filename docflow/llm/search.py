@@ -133,8 +133,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
             new = new.join(_small(seen_all, seen_rows), ["qid", "row"], "left_anti")
         new = saved(new, "search-new")
         n_new = new.count()
-        # Direct access: every posting of a newly seen document in the lists of its query.
-        found = lists.join(_small(new, n_new), "row").join(pairs, ["qid", "term"])
+        # Direct access: every posting of a newly seen document in the lists of its queries. A document
+        # that several queries see first meets its postings once; each posting then goes to those of
+        # them whose query has its term.
+        by_row = new.groupBy("row").agg(F.collect_set("qid").alias("qids"))
+        by_term = queries.groupBy("term").agg(F.collect_set("qid").alias("tq"))
+        found = lists.join(_small(by_row, n_new), "row").join(_small(by_term, n_asked), "term").select(
+            F.explode(F.array_intersect("qids", "tq")).alias("qid"), "term", "row", "key", "impact")
         scored.append(saved(found.groupBy("qid", "row", "key").agg(F.sum("impact").alias("score")), "search-scores"))
         seen_rows += n_new
         seen_all = _union([p.select("qid", "row") for p in scored])
