@@ -4,7 +4,8 @@ The index holds, for each term that some query has, an impact list: the term's p
 impact (falling), then doc id and row. Positions in a list come from range partitions of that order
 plus a shift per partition border, so one frequent term is spread over many tasks.
 
-The Best Position Algorithm reads the lists of each query in rounds of depth D (`K`, then doubled):
+The Best Position Algorithm reads the lists of each query in rounds of depth D (`FIRST_DEPTH` times k,
+then doubled):
 sorted access takes positions 1..D of each of its lists; direct access then looks up every document
 seen in all of the query's lists, which gives its whole score and its positions there. For each list
 the best position is the end of the run of seen positions that starts at 1, which direct access may
@@ -36,6 +37,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 K = 10                      # documents given for each query
+FIRST_DEPTH = 16            # times k: positions of each list that the first round reads; then doubled
 BROADCAST_ROWS = 250_000    # rows of a side that is broadcast (each a few longs); beyond, it is joined by shuffle
 
 
@@ -121,7 +123,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
     asked = saved(asked.join(_small(lengths, n_asked), "term", "left").fillna(0, ["len"]), "search-asked")
     open_ = asked.select("qid").distinct()
     results, rounds, scored, seen_rows = [], [], [], 0
-    low, depth = 0, k
+    low, depth = 0, FIRST_DEPTH * k
     while open_.count() > 0:
         queries = asked.join(_small(open_, n_asked), "qid")
         pairs = _small(queries.select("qid", "term"), n_asked)

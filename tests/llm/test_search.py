@@ -77,8 +77,11 @@ def test_hard_cases(spark, hard, empty):
     assert search.search(docs, items.filter("item_id < 0"))[0].count() == 0
 
 
-def test_deep_lists_and_ties(spark):
-    """Many equal scores: the threshold must fall strictly below the k-th before a query stops."""
+def test_deep_lists_and_ties(spark, monkeypatch):
+    """Many equal scores: the threshold must fall strictly below the k-th before a query stops.
+
+    The first round reads k positions here, so that several rounds are needed."""
+    monkeypatch.setattr(search, "FIRST_DEPTH", 1)
     rows = [(i, "common " * (1 + i % 3) + ("rare" if i % 50 == 0 else "")) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     items = spark.createDataFrame([(1, "common"), (2, "rare common"), (3, "rare")], "item_id long, text string")
