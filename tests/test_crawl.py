@@ -26,11 +26,11 @@ def urls_of(df):
 
 def test_links_relative_to_a_root_without_slash_leave_the_scope(spark):
     site = pages(spark, [
-        (ROOT, anchors("document1.pdf", "subpage.html", "external.pdf")),
-        (f"{SITE}/lib/subpage.html", anchors("document2.pdf", "https://external.example/doc.pdf")),
+        (ROOT, anchors("survey-map.pdf", "annex.html", "harbour.pdf")),
+        (f"{SITE}/lib/annex.html", anchors("annex-figures.pdf", "https://elsewhere.example/tide.pdf")),
     ])
     found = crawl.discover(site, ROOT)
-    assert urls_of(found.documents) == {f"{SITE}/lib/document1.pdf", f"{SITE}/lib/external.pdf"}
+    assert urls_of(found.documents) == {f"{SITE}/lib/survey-map.pdf", f"{SITE}/lib/harbour.pdf"}
     assert urls_of(found.visited) == {ROOT}
 
 
@@ -94,17 +94,17 @@ def test_reachability_on_random_cyclic_graphs(spark, seed, hot_rows):
 
 def test_page_profile(spark):
     site = pages(spark, [
-        ("https://h/", "<html><title>Test Title</title><body>Hello World!</body></html>"),
-        ("https://g/", None, None, "Connection failed"),
+        ("https://h/", "<html><title>Harbour Notes</title><body>Low water at noon.</body></html>"),
+        ("https://g/", None, None, "socket reset by peer"),
         ("https://f/", "é" * 600),
     ])
     rows = {r["url"]: r for r in crawl.page_profile(site).collect()}
     assert rows["https://h/"].asDict() == {
-        "status": "success", "url": "https://h/", "status_code": 200, "content_length": 63,
-        "title": "Test Title", "sample_text": "Test TitleHello World!", "error": None}
+        "status": "success", "url": "https://h/", "status_code": 200, "content_length": 72,
+        "title": "Harbour Notes", "sample_text": "Harbour NotesLow water at noon.", "error": None}
     failed = rows["https://g/"]
     assert (failed.status, failed.title, failed.sample_text, failed.error) == (
-        "failure", "", "", "Connection failed")
+        "failure", "", "", "socket reset by peer")
     assert (failed.status_code, failed.content_length) == (None, None)
     long = rows["https://f/"]
     assert (long.title, len(long.sample_text), long.content_length) == ("No title found", 500, 1200)
