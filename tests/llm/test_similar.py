@@ -4,7 +4,8 @@ from itertools import combinations
 import pytest
 import xxhash
 
-from docflow.llm import similar, stages
+from docflow.llm import simhash, similar, stages
+from docflow.reliable import saved
 
 DATA = "/root/testdata/sf0.001"
 MASK = (1 << 64) - 1
@@ -146,3 +147,45 @@ def test_stage_decides_by_exact_similarity(spark):
     assert 150 < sum(wanted) < 250
     assert not [i for i in range(400) if found[i] and not wanted[i]]
     assert sum(f for f, w in zip(found, wanted, strict=True) if w) >= 0.98 * sum(wanted)
+
+
+def test_look_ups_cross_one_exchange(spark, made_up):
+    signed = similar.signatures(spark.createDataFrame(list(enumerate(made_up[:40])), "doc_id long, text string"), ["doc_id"])
+    classes = saved(signed.withColumn("glance", signed.lanes[0]), "test-classes")
+    assert similar.balls(classes).count() == 40 * 168
+    met = similar.meetings(classes)
+    plan = met._jdf.queryExecution().sparkPlan().toString() + met._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert all(r.n > 1 and r.least <= r.id for r in met.collect())
+
+
+def test_simhash_links_take_part(spark, monkeypatch):
+    """The 64-bit operator finds its near copies without any look-up of `similar`; the exact check decides."""
+    rng = random.Random(17)
+    long = [f"u{rng.random()}" for _ in range(20_000)]
+    texts = [" ".join(long), " ".join([*long[:-1], "other"]), " ".join(long).upper(),
+             "again " * 400 + "one end of a few words", "again " * 400 + "two ends made of other words"]
+    meetings = similar.meetings
+    monkeypatch.setattr(similar, "meetings", lambda classes: meetings(classes).filter("n < 0"))
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    # The last two are within two bits, but share one shingle only.
+    prints = [simhash.fingerprint(t, 3) for t in texts]
+    assert all((prints[a] ^ prints[b]).bit_count() <= 2 for a, b in ((0, 1), (0, 2), (3, 4)))
+    assert jaccard(*map(shingles, texts[3:])) < 0.8
+    assert sorted(r.doc_id for r in stages.near_duplicates(spark, df, DATA).collect()) == [0, 3, 4]
+
+
+def test_recall_of_short_and_long_texts(spark):
+    """Pairs at the limit itself: 8 of 10 different shingles in common, or a fifth more at other sizes."""
+    rng = random.Random(23)
+    rows = []
+    for i in range(600):
+        size = (8, 40, 300)[i % 3]
+        first = [f"w{rng.random()}" for _ in range(size + 4)]
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join([*first, *(f"w{rng.random()}" for _ in range(size // 4))]))]
+    assert all(jaccard(shingles(rows[k][1]), shingles(rows[k + 1][1])) == 0.8 for k in (0, 2, 4))
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    kept = {r.doc_id for r in stages.near_duplicates(spark, df, DATA).collect()}
+    assert {2 * i for i in range(600)} <= kept
+    for k in range(3):
+        assert sum(2 * i + 1 not in kept for i in range(k, 600, 3)) >= 0.98 * 200
