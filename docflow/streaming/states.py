@@ -20,6 +20,9 @@ attempts that arrive over several micro-batches are folded: a file that fails in
 fetched in the third has a success row with two failures (three attempts). An observation of a URL that is not later than
 the last one handled for it is late: it changes nothing and gives a row with status `late`.
 
+What a file name keeps is one value, but for the times of its second and further URLs, which are a map: so
+an observation reads and writes once, however many parts its state has.
+
 Bodies never reach Python: length, checksum and validity are columns computed beforehand.
 Every handled observation gives one output row; `seq` numbers a file name's rows, so the manifest is
 the initial one with, per file name, the entry of its last `success` row (`manifest_after`).
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from docflow.functions import content, urls
 from docflow.operators import outcome
@@ -40,17 +43,22 @@ from docflow.operators import outcome
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RETRY_AFTER_MS = 6 * 3600 * 1000   # a failed document is due again after this much event time
 
-ENTRY = StructType([StructField(n, t) for n, t in (
-    ("url", StringType()), ("size", LongType()), ("checksum", StringType()), ("last_modified", StringType()),
-    ("downloaded_ms", LongType()), ("local_path", StringType()))])
-FAILING = StructType([StructField("failures", IntegerType()), StructField("error", StringType()),
-                      StructField("due_ms", LongType())])
+# One value for all of a file name's state but the further URLs, so that the usual observation (one URL for
+# a name) costs one read and one write: every call to the state store is a round trip between processes.
+STATE = StructType([StructField(n, t) for n, t in (
+    ("n", LongType()),                                                     # rows given out so far
+    ("seen_url", StringType()), ("seen_ms", LongType()),                   # the first URL's last observation
+    ("has_entry", BooleanType()), ("url", StringType()), ("size", LongType()), ("checksum", StringType()),
+    ("last_modified", StringType()), ("downloaded_ms", LongType()), ("local_path", StringType()),
+    ("failures", IntegerType()), ("error", StringType()), ("due_ms", LongType()))])  # failures: null without a run
 OUT = StructType([StructField(n, t) for n, t in (
     ("filename", StringType()), ("seq", LongType()), ("url", StringType()), ("observed_ms", LongType()),
     ("decision", StringType()), ("reason", StringType()), ("status", StringType()), ("size", LongType()),
     ("checksum", StringType()), ("last_modified", StringType()), ("downloaded_ms", LongType()),
     ("local_path", StringType()), ("error", StringType()), ("failures", IntegerType()))])
 
+OUT_ROW = Row(*OUT.names)
+
 
 class DocumentMachine(StatefulProcessor):
     """The state machine of one file name; see the module's text."""
@@ -60,31 +68,46 @@ class DocumentMachine(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.entry = handle.getValueState("entry", ENTRY)
-        self.failing = handle.getValueState("failing", FAILING)
-        self.count = handle.getValueState("count", StructType([StructField("n", LongType())]))
-        self.seen = handle.getMapState("seen", StructType([StructField("url", StringType())]),
-                                       StructType([StructField("ms", LongType())]))
-
-    def _next(self) -> int:
-        n = (self.count.get() or (0,))[0] + 1
-        self.count.update((n,))
-        return n
+        self.document = handle.getValueState("document", STATE)
+        self.others = handle.getMapState("others", StructType([StructField("url", StringType())]),
+                                         StructType([StructField("ms", LongType())]))
+
+    def _load(self) -> None:
+        """The file name's state, as fields that the handling changes and `_store` writes back."""
+        have = self.document.get()
+        self.n, self.seen_url, self.seen_ms = have[:3] if have else (0, None, None)
+        self.entry = have[4:10] if have and have[3] else None
+        self.failing = have[10:13] if have and have[10] is not None else None
+
+    def _store(self) -> None:
+        entry, failing = self.entry, self.failing
+        self.document.update((self.n, self.seen_url, self.seen_ms, entry is not None, *(entry or (None,) * 6),
+                              *(failing or (None,) * 3)))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         row = initialState
-        self.entry.update((row.url, row.size, row.checksum, row.last_modified, row.downloaded_ms, row.local_path))
+        self.n, self.seen_url, self.seen_ms, self.failing = 0, None, None, None
+        self.entry = (row.url, row.size, row.checksum, row.last_modified, row.downloaded_ms, row.local_path)
+        self._store()
 
     def _row(self, filename, obs, decision, reason, status, entry=None, error=None, failures=0) -> Row:
-        stored = status == "success"
-        return Row(
-            filename=filename, seq=self._next(), url=obs["url"], observed_ms=obs["observed_ms"],
-            decision=decision, reason=reason, status=status,
-            size=entry[1] if stored else None, checksum=entry[2] if stored else None,
-            last_modified=obs["last_modified"],
-            downloaded_ms=entry[4] if stored else None,
-            local_path=entry[5] if stored else None, error=error, failures=failures,
-        )
+        self.n += 1
+        size, checksum, downloaded_ms, local_path = (
+            (entry[1], entry[2], entry[4], entry[5]) if status == "success" else (None,) * 4)
+        return OUT_ROW(filename, self.n, obs["url"], obs["observed_ms"], decision, reason, status, size, checksum,
+                       obs["last_modified"], downloaded_ms, local_path, error, failures)
+
+    def _is_late(self, url: str, at: int) -> bool:
+        """Whether the URL was handled at that time or later; else notes the time."""
+        if self.seen_ms is None or self.seen_url == url:
+            last, self.seen_url = self.seen_ms, url
+            if last is None or at > last:
+                self.seen_ms = at
+        else:
+            last = (self.others.getValue((url,)) or (None,))[0] if self.others.containsKey((url,)) else None
+            if last is None or at > last:
+                self.others.updateValue((url,), (at,))
+        return last is not None and at <= last
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         filename = key[0]
@@ -94,18 +117,18 @@ class DocumentMachine(StatefulProcessor):
             have = latest.get(obs["url"])
             if have is None or obs["observed_ms"] > have["observed_ms"]:
                 latest[obs["url"]] = obs
+        self._load()
         for url in sorted(latest):
             obs = latest[url]
             at = obs["observed_ms"]
-            last = self.seen.getValue((url,)) if self.seen.containsKey((url,)) else None
-            if last is not None and at <= last[0]:
+            if self._is_late(url, at):
                 yield self._row(filename, obs, "none", "late", "late")
-                continue
-            self.seen.updateValue((url,), (at,))
-            yield from self._handle(filename, obs, at)
+            else:
+                yield self._handle(filename, obs, at)
+        self._store()
 
-    def _handle(self, filename: str, obs: dict, at: int) -> Iterator[Row]:
-        entry = self.entry.get() if self.entry.exists() else None
+    def _handle(self, filename: str, obs: dict, at: int) -> Row:
+        entry = self.entry
         head_error = obs["head_error"]
         length = obs["content_length"]
         if head_error is not None:
@@ -119,8 +142,7 @@ class DocumentMachine(StatefulProcessor):
         elif obs["last_modified"] not in (None, "") and obs["last_modified"] != entry[3]:
             decision, reason = "fetch", "last_modified_changed"
         else:
-            yield self._row(filename, obs, "skip", "unchanged", "skipped_unchanged")
-            return
+            return self._row(filename, obs, "skip", "unchanged", "skipped_unchanged")
         if head_error is not None:
             status, error = "error", head_error
         elif length > self.cap:
@@ -132,43 +154,41 @@ class DocumentMachine(StatefulProcessor):
         else:
             status, error = "success", None
         if status == "success":
-            entry = (obs["url"], obs["body_size"], obs["checksum"], obs["last_modified"], at,
-                     f"{self.store}/{filename}")
-            self.entry.update(entry)
+            self.entry = (obs["url"], obs["body_size"], obs["checksum"], obs["last_modified"], at,
+                          f"{self.store}/{filename}")
             before = self._clear_failures()
-            yield self._row(filename, obs, decision, reason, status, entry, failures=before)
-            return
-        failures = 1
+            return self._row(filename, obs, decision, reason, status, self.entry, failures=before)
+        failures = 0
         if status == "error":
-            before = self.failing.get() if self.failing.exists() else None
-            failures = (before[0] if before else 0) + 1
-            if before:
-                self.handle.deleteTimer(before[2])
+            failures = (self.failing[0] if self.failing else 0) + 1
+            if self.failing:
+                self.handle.deleteTimer(self.failing[2])
             due = at + self.retry_after_ms
-            self.failing.update((failures, error, due))
+            self.failing = (failures, error, due)
             self.handle.registerTimer(due)
-        yield self._row(filename, obs, decision, reason, status, error=error, failures=failures if status == "error" else 0)
+        return self._row(filename, obs, decision, reason, status, error=error, failures=failures)
 
     def _clear_failures(self) -> int:
         """Ends a run of failures; gives how many there were."""
-        if not self.failing.exists():
+        if not self.failing:
             return 0
-        failures, _, due = self.failing.get()
+        failures, _, due = self.failing
         self.handle.deleteTimer(due)
-        self.failing.clear()
+        self.failing = None
         return failures
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.failing.exists():
+        self._load()
+        if not self.failing:
             return
-        failures, error, due = self.failing.get()
-        entry = self.entry.get() if self.entry.exists() else None
-        yield Row(filename=key[0], seq=self._next(), url=None if entry is None else entry[0], observed_ms=due,
-                  decision="fetch", reason="retry", status="retry_due", size=None, checksum=None,
-                  last_modified=None, downloaded_ms=None, local_path=None, error=error, failures=failures)
+        failures, error, due = self.failing
+        self.n += 1
         again = due + self.retry_after_ms
-        self.failing.update((failures, error, again))
+        self.failing = (failures, error, again)
+        self._store()
         self.handle.registerTimer(again)
+        yield OUT_ROW(key[0], self.n, self.entry[0] if self.entry else None, due, "fetch", "retry", "retry_due", None,
+                      None, None, None, None, error, failures)
 
     def close(self) -> None:
         pass
@@ -198,6 +218,9 @@ def document_states(stream: DataFrame, manifest: DataFrame, store: str, delay: s
                     cap: int = content.SIZE_CAP, retry_after_ms: int = RETRY_AFTER_MS) -> DataFrame:
     """Rows of the machines of all file names (schema `OUT`), in append mode and event time.
 
+    A manifest without entries is not handed over as initial state: Spark would send every file name of
+    the first micro-batch to Python in a batch of its own, for nothing.
+
     The state store must be RocksDB, which `transformWithState` requires; a session without a provider
     setting gets it (the setting is read when the query starts).
     """
@@ -209,7 +232,7 @@ def document_states(stream: DataFrame, manifest: DataFrame, store: str, delay: s
     rows = (
         observations(stream).withWatermark("observed_at", delay).groupBy("filename")
         .transformWithState(DocumentMachine(store, cap, retry_after_ms), OUT, "Append", "EventTime",
-                            initialState=initial)
+                            initialState=None if manifest.isEmpty() else initial)
     )
     times = {"observed_at": F.timestamp_millis("observed_ms"), "downloaded_at": F.timestamp_millis("downloaded_ms")}
     return rows.withColumns(times).drop("observed_ms", "downloaded_ms")

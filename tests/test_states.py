@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import GroupedData, Row
+
 from docflow import schemas
 from docflow.sources.manifests import ManifestStore
 from docflow.streaming import incremental, states
@@ -74,3 +76,92 @@ def test_initial_state_from_the_manifest(spark, tmp_path):
     assert out["plan.pdf"].status == "skipped_unchanged" and out["form.pdf"].status == "success"
     plan = manifest_of(states.manifest_after(known, spark.table("machine_rows")))[1]
     assert plan[:4] == ("plan.pdf", "https://files.example/lib/plan.pdf", 17, "c0")
+
+
+class CountingHandle:
+    """State in dictionaries; counts the calls, each of which is a round trip between processes in Spark."""
+
+    def __init__(self):
+        self.calls, self.timers, self.values = 0, [], {}
+
+    def getValueState(self, name, *schemas):
+        return CountingState(self, self.values.setdefault(name, {}))
+
+    getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class CountingState:
+    def __init__(self, handle, kept):
+        self.handle, self.kept = handle, kept
+
+    def _call(self, result=None):
+        self.handle.calls += 1
+        return result
+
+    def get(self):
+        return self._call(self.kept.get("one"))
+
+    def exists(self):
+        return self._call("one" in self.kept)
+
+    def update(self, value):
+        self.kept["one"] = self._call(value)
+
+    def clear(self):
+        self._call(self.kept.pop("one", None))
+
+    def getValue(self, key):
+        return self._call(self.kept.get(key))
+
+    def containsKey(self, key):
+        return self._call(key in self.kept)
+
+    def updateValue(self, key, value):
+        self.kept[key] = self._call(value)
+
+
+def seen(url, ms, length=5, error=None):
+    return Row(url=url, observed_ms=ms, content_length=length, last_modified="w", head_error=error, body_size=length,
+               checksum="c", is_valid=True)
+
+
+def test_an_observation_reads_and_writes_state_once():
+    handle = CountingHandle()
+    machine = states.DocumentMachine("/d")
+    machine.init(handle)
+    for ms, error in ((1, "503"), (2, None), (3, None)):
+        handle.calls = 0
+        row, = machine.handleInputRows(("a.pdf",), iter([seen("u/a.pdf", ms, error=error)]), None)
+        assert handle.calls <= 2
+        assert (row.status, row.seq, row.failures) == {
+            1: ("error", 1, 1), 2: ("success", 2, 1), 3: ("skipped_unchanged", 3, 0)}[ms]
+    assert handle.timers == []
+
+
+def test_further_urls_of_a_name_keep_their_own_times():
+    handle = CountingHandle()
+    machine = states.DocumentMachine("/d")
+    machine.init(handle)
+    give = lambda *rows: [(r.url, r.status, r.seq) for r in machine.handleInputRows(("a.pdf",), iter(rows), None)]
+    assert give(seen("v", 10), seen("u", 20)) == [("u", "success", 1), ("v", "success", 2)]
+    assert give(seen("v", 10), seen("u", 21)) == [("u", "success", 3), ("v", "late", 4)]
+    assert give(seen("v", 11), seen("u", 21), seen("w", 1)) == [("u", "late", 5), ("v", "success", 6), ("w", "success", 7)]
+
+
+def test_an_empty_manifest_is_no_initial_state(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([obs("plan", "v1", 5)], schemas.OBSERVATIONS).write.parquet(source)
+    stream = spark.readStream.schema(schemas.OBSERVATIONS).parquet(source)
+    known = spark.createDataFrame([("plan.pdf", "u", 17, "c0", "w1", T0, "/d/plan.pdf")], schemas.MANIFEST)
+    given, real = [], GroupedData.transformWithState
+    monkeypatch.setattr(GroupedData, "transformWithState", lambda self, *a, initialState=None: (
+        given.append(initialState is not None), real(self, *a, initialState=initialState))[1])
+    for manifest in (known.limit(0), known):
+        assert states.document_states(stream, manifest, "/d").isStreaming
+    assert given == [False, True]
