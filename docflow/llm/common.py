@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -48,7 +49,7 @@ def map_rows(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        function = make()
+        function = prepared(make)
         out: list[tuple] = []
         held = 0
         for batch in batches:
@@ -67,6 +68,30 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+_kept: dict[Hashable, Any] = {}
+_asked: set[Hashable] = set()
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What `make` gives, kept by the worker for its next tasks as long as these ask for it."""
+    if key not in _kept:
+        _kept[key] = make()
+    _asked.add(key)
+    return _kept[key]
+
+
+def prepared(make: Callable[[], Callable[[tuple], tuple]]) -> Callable[[tuple], tuple]:
+    """The function of a task. What earlier tasks of the worker kept and this one doesn't ask for is freed:
+    a worker goes on from operator to operator, and would hold the memory of all of them."""
+    _asked.clear()
+    function = make()
+    if _kept.keys() - _asked:
+        for key in _kept.keys() - _asked:
+            del _kept[key]
+        gc.collect()
+    return function
+
+
 def as_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
     return pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from docflow.llm.common import Memo, map_rows
+from docflow.llm.common import Memo, kept, map_rows
 from docflow.reliable import new_folder
 
 LENGTH = 2048
@@ -95,16 +95,9 @@ class WordTokenizer:
         return b"".join(map(self.words.__getitem__, pieces))
 
 
-_tokenizers: dict[int, WordTokenizer] = {}
-
-
 def _tokenizer(model) -> WordTokenizer:
     """A worker that goes on to another task keeps what it remembers."""
-    key = hash(model.value)
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = WordTokenizer(model.value, special=True)
-    return _tokenizers[key]
+    return kept(("tokenizer", hash(model.value)), lambda: WordTokenizer(model.value, special=True))
 
 
 def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",

@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 import xxhash
 
-from docflow.llm import simhash, similar, stages
+from docflow.llm import common, simhash, similar, stages
 from docflow.reliable import saved
 
 DATA = "/root/testdata/sf0.001"
@@ -189,3 +189,46 @@ def test_recall_of_short_and_long_texts(spark):
     assert {2 * i for i in range(600)} <= kept
     for k in range(3):
         assert sum(2 * i + 1 not in kept for i in range(k, 600, 3)) >= 0.98 * 200
+
+
+def test_values_of_two_need_no_join(spark, made_up):
+    signed = similar.signatures(spark.createDataFrame(list(enumerate(made_up[:60])), "doc_id long, text string"), ["doc_id"])
+    classes = saved(signed.dropDuplicates(["fingerprint"]).withColumn("glance", signed.lanes[0]), "test-twos")
+    met = saved(similar.meetings(classes), "test-met")
+    twos = similar._twos(met)
+    assert "Join" not in twos._jdf.queryExecution().executedPlan().toString()
+    quiet = met.filter("n = 2")
+    pairs = sorted(similar._pairs(quiet, quiet).collect())
+    assert sorted(twos.collect()) == pairs and pairs
+
+
+def test_texts_meet_their_keys_where_they_are(spark, monkeypatch):
+    """However small the session's limit for broadcasts, no exchange carries the texts."""
+    texts = [" ".join(f"w{i}{k}" for k in range(30)) for i in range(5)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0], "other " + texts[1]])], "key long, text string")
+    signed = saved(similar.signatures(df, ["key"]), "test-signed")
+    prints = {r.key: r.fingerprint for r in signed.collect()}
+    pairs = spark.createDataFrame([tuple(sorted((prints[a], prints[b]))) for a, b in ((1, 6), (2, 3))], "a long, b long")
+    plans = []
+    monkeypatch.setattr(similar, "map_rows", lambda d, *a, f=similar.map_rows: (
+        plans.append(d._jdf.queryExecution().executedPlan().toString()), f(d, *a))[1])
+    monkeypatch.setattr(similar, "KEYS", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = similar.alike(df, signed, "key")(pairs).collect()
+        monkeypatch.setattr(similar, "KEYS", 0)  # more keys than are broadcast: the same result
+        assert similar.alike(df, signed, "key")(pairs).collect() == found
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [tuple(r) for r in found] == [tuple(sorted((prints[1], prints[6])))]
+    assert "Exchange hashpartitioning" not in plans[0] and "Exchange hashpartitioning" in plans[1]
+
+
+def test_a_worker_frees_what_its_next_operator_does_not_ask_for():
+    made = []
+    use = lambda key: common.prepared(lambda: common.kept(key, lambda: made.append(key) or (lambda row: key)))
+    assert use("a") is use("a") and made == ["a"]
+    assert use("b")(()) == "b" and set(common._kept) == {"b"}
+    common.prepared(lambda: lambda row: row)
+    assert not common._kept
