@@ -232,3 +232,58 @@ def test_a_worker_frees_what_its_next_operator_does_not_ask_for():
     assert use("b")(()) == "b" and set(common._kept) == {"b"}
     common.prepared(lambda: lambda row: row)
     assert not common._kept
+
+
+def family(rng, n, words):
+    """Edits of one text, with similarities on both sides of the limit."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6])):
+            text[rng.randrange(words)] = f"new{rng.random()}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_parity_drops_no_similar_pair(spark):
+    rng = random.Random(3)
+    texts = ["", "one", *family(rng, 40, 150), *family(rng, 10, 2000)]
+    sets = [shingles(t) for t in texts]
+    marks = [sum((x & MASK) << 64 * i for i, x in enumerate(similar.parity(similar.shingle_hashes(t)))) for t in texts]
+    assert all((marks[i] ^ marks[j]).bit_count() <= len(sets[i] ^ sets[j]) for i, j in combinations(range(52), 2))
+    signed = similar.signatures(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"])
+    assert {r.doc_id: r.size for r in signed.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    a, b = (signed.select(*[signed[c].alias(f"{c}_{x}") for c in ("doc_id", "size", "parity")]) for x in "ab")
+    met = a.crossJoin(b).filter(similar.may_be_alike("size_a", "size_b", "parity_a", "parity_b"))
+    left = {(r.doc_id_a, r.doc_id_b) for r in met.collect()}
+    alike = {(i, j) for i in range(52) for j in range(52) if jaccard(sets[i], sets[j]) >= 0.8}
+    assert alike <= left and len(left - alike) < 0.2 * 52 * 52
+
+
+def test_a_family_near_the_limit_makes_no_square_of_pairs(spark, monkeypatch):
+    texts = family(random.Random(29), 300, 120)
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i, j in combinations(range(300), 2) if jaccard(sets[i], sets[j]) >= 0.8]
+    given = []
+    whole_alike = similar.alike
+
+    def counted(*args):
+        sure = whole_alike(*args)
+
+        def count(pairs):
+            pairs = saved(pairs, "test-pairs")
+            given.append(pairs.count())
+            return sure(pairs)
+
+        return count
+
+    monkeypatch.setattr(similar, "alike", counted)
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    kept = {r.doc_id for r in stages.near_duplicates(spark, df, DATA).collect()}
+    least = list(range(300))
+    for _ in range(300):
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    assert kept == {i for i in range(300) if least[i] == i}
+    assert 300 < len(links) < 30_000 and sum(given) < 5 * 300
