@@ -177,8 +177,7 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     their places: then no ids cross the shuffle of that join.
     """
     tokens = tokenized(df, path, key, text)
-    size = (F.octet_length("ids") / 4).cast("long")
-    counts = tokens.select("part", "before", size.alias("n")).select(
+    counts = tokens.select("part", "before", F.col("size").alias("n")).select(  # without ids, which aren't read
         "*", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / CAPACITY).cast("int"))).alias("piece"))
     items = counts.select(*KEY, F.least(F.lit(CAPACITY).cast("long"), F.col("n") - F.col("piece") * CAPACITY)
                           .alias("length"))

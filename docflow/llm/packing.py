@@ -14,21 +14,26 @@ from __future__ import annotations
 import os
 import string
 import struct
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from docflow.llm.common import Memo, kept, map_rows
+from docflow.llm.common import Memo, kept, prepared
 from docflow.reliable import new_folder
 
 LENGTH = 2048
 END = 1               # id behind each document
 MEMO = 750_000        # words whose ids a worker remembers
 LONGEST = 64          # characters of a word that is worth remembering
+PORTION = 4 << 20     # bytes of texts whose words are looked up at a time, and at least one text
 MARKS = string.punctuation.replace("'", "")  # neither changes a letter before it nor joins it in a token
 WORD_END = "</w>"     # how the tokenizer's file writes the end of a word
 MOST_BYTES = 64 << 20  # of a tokenizer file, which is broadcast
@@ -95,6 +100,41 @@ class WordTokenizer:
         return b"".join(map(self.words.__getitem__, pieces))
 
 
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (none null) in a row, and for each text how many come before it; one more for all.
+
+        Each different word of the texts is looked up once.
+        """
+        if self.spaced and any(self._has(self.spaced, t) for t in texts.to_pylist()):
+            each = [self(t) for t in texts.to_pylist()]
+            sizes = np.fromiter(map(len, each), "i8", len(each)) // 4
+            return np.frombuffer(b"".join(each), "<u4"), np.concatenate([[0], np.cumsum(sizes)])
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn(set(words).difference(self.words))
+        packed = [*map(self.words.__getitem__, words)]
+        sizes = np.fromiter(map(len, packed), "i8", len(packed)) // 4
+        table, first = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        size = sizes[at]
+        ahead = np.concatenate([[0], np.cumsum(size)])
+        ids = table[np.repeat(first[at] - ahead[:-1], size) + np.arange(ahead[-1])]
+        offsets = pieces.offsets.to_numpy()
+        return ids, ahead[offsets - offsets[0]]
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch (key, text) in portions of about PORTION bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + PORTION, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _tokenizer(model) -> WordTokenizer:
     """A worker that goes on to another task keeps what it remembers."""
     return kept(("tokenizer", hash(model.value)), lambda: WordTokenizer(model.value, special=True))
@@ -102,7 +142,7 @@ def _tokenizer(model) -> WordTokenizer:
 
 def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
               end: int | None = END) -> DataFrame:
-    """First pass: `key`, packed `ids` with the end mark, the `part` and the ids `before` in it.
+    """First pass: `key`, packed `ids` with the end mark, the `part`, the ids `before` in it and their `size`.
 
     Written once to the shared folder: both passes must see the same order.
     """
@@ -111,22 +151,26 @@ def tokenized(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     if len(model) > MOST_BYTES:
         raise ValueError("the tokenizer file is too large to be broadcast")
     model = df.sparkSession.sparkContext.broadcast(model)
-    mark = b"" if end is None else struct.pack("<I", end)
-
-    def make():
-        tokenizer, part, before = _tokenizer(model), TaskContext.get().partitionId(), 0
-
-        def one(row: tuple) -> tuple:
-            nonlocal before
-            ids = tokenizer(row[1] or "") + mark
-            start, before = before, before + len(ids) // 4
-            return row[0], ids, part, start
-
-        return one
-
-    schema = StructType([df.schema[key], StructField("ids", BinaryType()),
-                         StructField("part", IntegerType()), StructField("before", LongType())])
-    rows = map_rows(df.select(key, F.col(text)), make, schema, lambda row: len(row[1]) + 64)
+    schema = StructType([df.schema[key], StructField("ids", BinaryType()), StructField("part", IntegerType()),
+                         StructField("before", LongType()), StructField("size", LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, part, before = prepared(lambda: _tokenizer(model)), TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for rows in _portions(batch):
+                ids, at = tokenizer.many(pc.fill_null(rows.column(1), ""))
+                if end is not None:
+                    ids, at = np.insert(ids, at[1:], end), at + np.arange(len(at))
+                data = pa.Array.from_buffers(pa.large_binary(), rows.num_rows,
+                                             [None, pa.py_buffer(at * 4), pa.py_buffer(ids)])
+                columns = [rows.column(0), data, np.full(rows.num_rows, part), before + at[:-1], np.diff(at)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c).cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+                )
+                before += int(at[-1])
+
+    rows = df.select(key, F.col(text)).mapInArrow(run, schema)
     folder = new_folder(df.sparkSession, "tokenized")
     rows.write.parquet(folder)
     return df.sparkSession.read.schema(schema).parquet(folder)
@@ -138,13 +182,12 @@ def pack(rows: DataFrame, key: str = "doc_id", length: int = LENGTH) -> DataFram
     `start` counts the document's ids before the piece, `offset` the sequence's; `ids` holds the
     piece's own, packed.
     """
-    size = (F.octet_length("ids") / 4).cast("long")
     # One row for each partition of the first pass, whatever that holds.
-    totals = rows.groupBy("part").agg(F.max(F.col("before") + size).alias("total"))
+    totals = rows.groupBy("part").agg(F.max(F.col("before") + F.col("size")).alias("total"))
     ahead = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("part", F.coalesce(ahead, F.lit(0)).alias("base"))
     placed = rows.join(F.broadcast(bases), "part").select(
-        F.col(key), "ids", size.alias("doc_tokens"), (F.col("base") + F.col("before")).alias("at")
+        F.col(key), "ids", F.col("size").alias("doc_tokens"), (F.col("base") + F.col("before")).alias("at")
     )
     first, last = F.expr(f"at DIV {length}"), F.expr(f"(at + doc_tokens - 1) DIV {length}")
     cut = placed.filter("doc_tokens > 0").select(

@@ -2,6 +2,7 @@ import struct
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -89,3 +90,29 @@ def test_added_tokens_of_any_form(token):
     text = f"in new york and yorkshire york|| at <a b> or x<a b>y and the end|| z<||> {token}\n{token}"
     got = packing.WordTokenizer(own.to_str(), special=True)(text)
     assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids_of(own, text)[:-1]
+
+
+def test_many_texts_at_once(tokenizer, hard, monkeypatch):
+    """Each different word of the texts is looked up once, whatever the portion."""
+    texts = [r.text or "" for r in hard.collect()] + ["", "a <|endoftext|> b", "Don't; stop!\nNow  then", "x, x, x"]
+    words = packing.WordTokenizer(open(queries.WORDS, encoding="utf-8").read(), special=True)
+    for some in (texts, texts[-1:], [""], []):
+        ids, at = words.many(pa.array(some, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert got == [ids_of(tokenizer, t)[:-1] for t in some]
+    asked = []
+    monkeypatch.setattr(packing.Memo, "__missing__", lambda self, key: asked.append(key) or b"")
+    words.words.clear()
+    words.many(pa.array(["same word same word"] * 50)[10:])
+    assert sorted(asked) == ["same", "word"] or not asked
+    batch = pa.record_batch({"key": list(range(6)), "text": ["abc", None, "", "d" * 90, "e", "f"]})
+    monkeypatch.setattr(packing, "PORTION", 5)
+    assert [p.column(0).to_pylist() for p in packing._portions(batch)] == [[0, 1, 2], [3], [4, 5]]
+
+
+def test_sizes_are_known_without_ids(spark, tokenizer, hard):
+    rows = packing.tokenized(hard, queries.WORDS)
+    for r in rows.collect():
+        assert r.size == len(r.ids) // 4
+    plan = rows.groupBy("part").sum("size")._jdf.queryExecution().executedPlan().toString()
+    assert "ids" not in plan
