@@ -5,7 +5,7 @@ impact (falling), then doc id and row. Positions in a list come from range parti
 plus a shift per partition border, so one frequent term is spread over many tasks.
 
 The Best Position Algorithm reads the lists of each query in rounds of depth D (`FIRST_DEPTH` times k,
-then doubled):
+then `GROWTH` times as deep):
 sorted access takes positions 1..D of each of its lists; direct access then looks up every document
 seen in all of the query's lists, which gives its whole score and its positions there. For each list
 the best position is the end of the run of seen positions that starts at 1, which direct access may
@@ -37,7 +37,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 K = 10                      # documents given for each query
-FIRST_DEPTH = 16            # times k: positions of each list that the first round reads; then doubled
+FIRST_DEPTH = 16            # times k: positions of each list that the first round reads
+GROWTH = 4                  # times as deep is the next round; each one shuffles the lists anew
 BROADCAST_ROWS = 250_000    # rows of a side that is broadcast (each a few longs); beyond, it is joined by shuffle
 
 
@@ -109,10 +110,12 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
            text: str = "text") -> tuple[DataFrame, list[dict]]:
     """Each query's k best documents with a score above 0: item, rank (from 1), key, score; and the rounds.
 
-    Rounds are incremental: round r reads positions (D/2, D] by sorted access and looks up only the
-    documents that it sees first. The best position of a list is found in the next window (D, 2D],
-    whose positions are the next round's sorted access: the run of positions there whose documents
-    the query has seen carries it on, at most to 2D (beyond that the next round reads anyway).
+    Rounds are incremental: round r reads positions (D/GROWTH, D] by sorted access and looks up only the
+    documents that it sees first. The best position of a list is found in the window (D, 2D], which
+    the next round's sorted access holds: the run of positions there whose documents the query has seen
+    carries it on, at most to 2D (beyond that the next round reads anyway).
+
+    What has a row for each query or asked term at most is joined by broadcast up to `BROADCAST_ROWS`.
     """
     spark = docs.sparkSession
     asked = saved(queries_of(items, item_key, text), "search-queries")
@@ -152,23 +155,24 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", i
         run = F.col("position") - F.row_number().over(Window.partitionBy("qid", "term").orderBy("position"))
         carried = ahead.select("qid", "term", (run == depth).alias("on")).groupBy("qid", "term").agg(
             F.sum(F.col("on").cast("long")).alias("more"))
-        best = queries.join(carried, ["qid", "term"], "left").select(
+        best = queries.join(_small(carried, n_asked), ["qid", "term"], "left").select(
             "qid", "term", "len", (covered + F.coalesce("more", F.lit(0))).alias("best"))
-        at = best.filter(F.col("best") < F.col("len")).join(
-            lists.select("term", F.col("position").alias("best"), "impact"), ["term", "best"])
-        threshold = open_.join(at.groupBy("qid").agg(F.sum("impact").alias("threshold")), "qid", "left") \
-            .fillna(0, ["threshold"])
+        best = best.filter(F.col("best") < F.col("len"))
+        at = lists.select("term", F.col("position").alias("best"), "impact").join(_small(best, n_asked), ["term", "best"])
+        reached = at.groupBy("qid").agg(F.sum("impact").alias("threshold"))
+        threshold = open_.join(_small(reached, n_asked), "qid", "left").fillna(0, ["threshold"])
         order = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("key").asc_nulls_first(), "row")
-        mine = _union(scored).join(open_, "qid", "left_semi")
+        mine = _union(scored).join(_small(open_, n_asked), "qid", "left_semi")
         ranked = mine.filter("score > 0").select("*", F.row_number().over(order).alias("rank")).filter(f"rank <= {k}")
         kth = ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("have"), F.min("score").alias("kth"))
-        verdict = saved(threshold.join(kth, "qid", "left").select(
+        verdict = saved(threshold.join(_small(kth, n_asked), "qid", "left").select(
             "qid", ((F.col("threshold") == 0) | ((F.col("have") == k) & (F.col("kth") > F.col("threshold")))).alias("done")
         ), "search-verdict")
-        results.append(saved(ranked.join(verdict.filter("done").select("qid"), "qid"), "search-ranked"))
+        done = _small(verdict.filter("done").select("qid"), n_asked)
+        results.append(saved(ranked.join(done, "qid"), "search-ranked"))
         open_ = verdict.filter("NOT done").select("qid")
         rounds.append({"depth": depth, "new": n_new, "open": open_.count()})
-        low, depth = depth, depth * 2
+        low, depth = depth, depth * GROWTH
     names = asked.select("qid", "item").distinct()
     if not results:
         return spark.createDataFrame([], f"{item_key} {items.schema[item_key].dataType.simpleString()}, rank int, "

@@ -88,3 +88,25 @@ def test_deep_lists_and_ties(spark, monkeypatch):
     got, rounds = search.search(docs, items, k=10)
     assert sorted(tuple(r) for r in got.collect()) == sorted(brute(rows, [(1, "common"), (2, "rare common"), (3, "rare")]))
     assert len(rounds) >= 2
+
+
+def test_few_rounds_and_no_shuffle_of_small_sides(spark, monkeypatch):
+    """Each round goes several times as deep; what has a row for a query or asked term is broadcast."""
+    monkeypatch.setattr(search, "FIRST_DEPTH", 1)
+    rows = [(i, "common " * (1 + i % 3) + ("rare" if i % 50 == 0 else "")) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = [(1, "common"), (2, "rare common")]
+    plans = []
+    monkeypatch.setattr(search, "saved", lambda df, label, f=search.saved: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()) if label == "search-verdict" else None,
+        f(df, label))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, rounds = search.search(docs, spark.createDataFrame(asked, "item_id long, text string"))
+        assert sorted(tuple(r) for r in got.collect()) == sorted(brute(rows, asked))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depths = [r["depth"] for r in rounds]
+    assert depths[:2] == [10, 10 * search.GROWTH] and len(depths) <= 5
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
