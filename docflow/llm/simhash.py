@@ -82,6 +82,11 @@ def _ball(value: Column, radius: int, bits: int = 32) -> Column:
     return F.transform(F.array(*[F.lit(x).cast("long") for x in signed]), lambda x: value.bitwiseXOR(x))
 
 
+def _shuffled(exploded: DataFrame) -> DataFrame:
+    """Never broadcast: Spark sizes rows of an explode as if each of its input made one."""
+    return exploded.hint("merge")
+
+
 def radii(distance: int) -> list[int]:
     """Radius of each segment's ball; -1: that segment needs no look-up."""
     r, rest = divmod(distance, 2)
@@ -109,7 +114,7 @@ def links(prints: DataFrame, distance: int = 2, crowd: int = CROWD) -> DataFrame
             entries = entries.join(loud, "value", "left_anti")
             crowded.append(probes.join(loud, "value", "left_semi").select("a"))
         out.append(
-            probes.join(entries, "value")
+            _shuffled(probes).join(entries, "value")
             .filter(F.col("a") != F.col("b"))
             .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
             .select("a", "b")
@@ -135,7 +140,7 @@ def _meetings(members: DataFrame, radius: int) -> DataFrame:
         .filter("n > 1").select("point", "b"),
         "meeting-points",
     )
-    return points.join(least, "point").filter("a <> b").select("a", "b")
+    return _shuffled(points).join(least, "point").filter("a <> b").select("a", "b")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3,

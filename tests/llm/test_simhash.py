@@ -5,6 +5,7 @@ import pytest
 import xxhash
 
 from docflow.llm import graph, queries, simhash
+from docflow.reliable import saved
 
 DATA = "/root/testdata/sf0.001"
 
@@ -69,6 +70,16 @@ def test_components_of_made_up_fingerprints(spark, distance, crowd):
     assert sorted((r.doc_id, r.fingerprint % 2**64, r.component_id) for r in got) == brute_components(prints, distance)
 
 
+@pytest.mark.parametrize("crowd", [1, 1000])
+def test_balls_are_not_broadcast(spark, crowd):
+    """However small Spark takes them to be: an explode's rows are sized as its input's."""
+    prints = [signed((i % 3) << 40 | 1 << i) for i in range(64)]
+    df = saved(spark.createDataFrame([(x,) for x in sorted(set(prints))], "fingerprint long"), "test-prints")
+    plan = simhash.links(df, 2, crowd)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "SortMergeJoin" in plan
+    assert "Inner, Build" not in plan  # lists of crowded values, of semi and anti joins, may be
+
+
 def test_odd_distances_are_refused(spark):
     df = spark.createDataFrame([(1,)], "fingerprint long")
     with pytest.raises(ValueError, match="distance"):
